@@ -106,6 +106,12 @@ def allowed_edits(fuzziness: str | int, term: str) -> int:
     return 0 if len(term) <= 2 else 1 if len(term) <= 5 else 2
 
 
+def fuzzy_terms(spark: SparkSession, rows: list[dict], keys: Sequence[tuple] = ()) -> DataFrame:
+    """Query terms with their edit limits as input of `fuzzy_expand`."""
+    return local_table(spark, rows, pa.schema(
+        [*keys, ("field", pa.string()), ("query_term", pa.string()), ("max_edits", pa.int32())]))
+
+
 def fuzzy_expand(vocabulary: DataFrame, terms: DataFrame,
                  max_expansions: int = MAX_EXPANSIONS) -> DataFrame:
     """Index terms near each query term: (*terms, term, dist, weight), best `max_expansions` each.
@@ -154,9 +160,7 @@ def _clause_rows(index: Index, queries: Sequence[MatchQuery], clauses: list[tupl
             else:
                 rows.append({**row, "term": term, "weight": 1.0})
     if wanted:
-        table = local_table(spark, wanted, pa.schema([
-            ("query_id", pa.string()), ("clause_no", pa.int64()), ("field", pa.string()),
-            ("query_term", pa.string()), ("max_edits", pa.int32())]))
+        table = fuzzy_terms(spark, wanted, [("query_id", pa.string()), ("clause_no", pa.int64())])
         # At most MAX_EXPANSIONS rows per query term and field come back.
         for r in fuzzy_expand(index.vocabulary(), table).collect():
             rows.append({"query_id": r.query_id, "clause_no": r.clause_no, "field": r.field,

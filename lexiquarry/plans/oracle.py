@@ -129,6 +129,169 @@ _step("fs", ["dl"], """
   select field, count(*) n_docs, cast(sum(dl) as double) / count(*) avgdl from dl group by all""")
 
 
+# ---------------------------------------------------------------- keywords
+
+_step("kw", ["sent"], f"""
+  select doc_id, field, sent_no, array_to_string(list_filter(string_split(sentence, ' '),
+    lambda w: length(w) > 2 and w not in ({_values([w for w in STOP_WORDS if len(w) > 2])})), ' ') sentence
+  from sent""")
+_step("kwtok", ["kw"], """
+  select doc_id, field, sent_no, cast(pos - 1 as bigint) pos, word from (
+    select doc_id, field, sent_no, generate_subscripts(ws, 1) pos, unnest(ws) word from (
+      select doc_id, field, sent_no, string_split(sentence, ' ') ws from kw where sentence <> ''))""")
+_step("kwflat", ["kwtok"], """
+  select doc_id, field, word, lead(word, 1) over w w2, lead(word, 2) over w w3, lead(word, 3) over w w4
+  from kwtok window w as (partition by doc_id, field order by sent_no, pos)""")
+_step("uni", ["kwtok"], "select word, count(*) n from kwtok group by all")
+_step("bi", ["kwflat"], """
+  select word w1, w2, count(*) n from kwflat where w2 is not null group by all""")
+_step("tri", ["kwflat"], """
+  select word w1, w2, w3, count(*) n from kwflat where w3 is not null group by all""")
+_step("bipmi", ["bi", "uni"], """
+  select w1 || ' ' || w2 gram, bi.n, log2(bi.n * (select sum(n) from uni)::double)
+         - log2(a.n::double * b.n::double) pmi
+  from bi join uni a on a.word = w1 join uni b on b.word = w2 where bi.n >= 7""")
+_step("tripmi", ["tri", "uni"], """
+  select w1 || ' ' || w2 || ' ' || w3 gram, tri.n,
+         log2(tri.n * pow((select sum(n) from uni)::double, 2))
+         - log2(a.n::double * b.n::double * c.n::double) pmi
+  from tri join uni a on a.word = w1 join uni b on b.word = w2 join uni c on c.word = w3
+  where tri.n >= 5""")
+_step("topuni", ["uni"], """
+  select row_number() over (order by n desc, word) rank, word, n from uni
+  qualify rank <= 1000""")
+_step("freqdict", ["topuni", "bipmi"], """
+  select word phrase, word clean, 1 n_words, n::double score from topuni
+  union all select gram, replace(gram, ' ', '_'), 2, pmi from bipmi""")
+
+# TextRank.
+_step("tr_pairs", ["kwflat"], """
+  select doc_id, field, word a, unnest([w2, w3, w4]) b from kwflat""")
+_step("tr_edges", ["tr_pairs"], """
+  select doc_id, field, a, b, count(*) n from (
+    select doc_id, field, a, b from tr_pairs where b <> a
+    union all select doc_id, field, b, a from tr_pairs where b <> a) group by all""")
+_step("tr_links", ["tr_edges"], """
+  select doc_id, field, a, b, n / sum(n) over (partition by doc_id, field, b) share from tr_edges""")
+_step("tr_0", ["kwtok"], """
+  select doc_id, field, word, n_nodes, 1e0 / n_nodes rank from (
+    select doc_id, field, word, count(*) over (partition by doc_id, field) n_nodes
+    from (select distinct doc_id, field, word from kwtok))""")
+for _i in range(1, 21):
+    _step(f"tr_{_i}", [f"tr_{_i - 1}", "tr_links"], f"""
+      select r.doc_id, r.field, r.word, r.n_nodes,
+             case when r.n_nodes = 1 then 1e0
+                  else 0.15e0 / r.n_nodes + 0.85e0 * coalesce(s.flow, 0) end rank
+      from tr_{_i - 1} r left join (
+        select l.doc_id, l.field, l.a word, sum(p.rank * l.share) flow
+        from tr_links l join tr_{_i - 1} p on p.doc_id = l.doc_id and p.field = l.field and p.word = l.b
+        group by all) s using (doc_id, field, word)""")
+_step("tr_runs", ["kwtok", "tr_20"], """
+  select *, pos - row_number() over (partition by doc_id, field, sent_no order by pos) run
+  from kwtok join tr_20 using (doc_id, field, word) where round(rank * n_nodes, 6) >= 1""")
+_step("tr_phrases", ["tr_runs"], """
+  select doc_id, field, phrase, max(n_words) n_words, max(score) score from (
+    select doc_id, field, string_agg(word, ' ' order by pos) phrase, count(*) n_words,
+           sqrt(sum(rank) / count(*)) score
+    from (select *, (row_number() over (partition by doc_id, field, sent_no, run order by pos) - 1) // 3 piece
+          from tr_runs)
+    group by doc_id, field, sent_no, run, piece)
+  where round(score, 9) >= 0.05 group by doc_id, field, phrase""")
+_step("trdict", ["tr_phrases"], """
+  select phrase, replace(phrase, ' ', '_') clean, any_value(n_words) n_words, max(score) score
+  from tr_phrases group by phrase""")
+
+# Dictionary matches.
+_step("dict", ["freqdict", "trdict"], """
+  select 'frequent' source, phrase, clean from freqdict
+  union all select 'textrank', phrase, clean from trdict""")
+_step("spans", ["kwtok"], """
+  select doc_id, field, sent_no, pos start, k n_words,
+         case k when 1 then word when 2 then word || ' ' || b else word || ' ' || b || ' ' || c end phrase
+  from (select *, lead(word, 1) over w b, lead(word, 2) over w c from kwtok
+        window w as (partition by doc_id, field, sent_no order by pos)), (select unnest([1, 2, 3]) k)
+  where phrase is not null""")
+_step("matches", ["spans", "dict"], """
+  select doc_id, field, sent_no, source, m.s start, m.n n_words, m.c clean from (
+    select doc_id, field, sent_no, source, unnest(list_reduce(list_transform(ms, lambda x: [x]),
+      lambda a, b: case when a[-1].s + a[-1].n <= b[1].s then list_concat(a, b) else a end)) m
+    from (select doc_id, field, sent_no, source,
+                 list({'s': start, 'n': n_words, 'c': clean} order by start, n_words desc) ms
+          from spans join dict using (phrase) group by all))""")
+_step("matched", ["kw", "matches"], """
+  select doc_id, field, sent_no, coalesce(t, []) t, coalesce(f, []) f from kw left join (
+    select doc_id, field, sent_no, list(clean order by start) filter (source = 'textrank') t,
+           list(clean order by start) filter (source = 'frequent') f
+    from matches group by all) using (doc_id, field, sent_no)""")
+# First occurrence of each element that the other list lacks.
+_NEW_IN = """list_filter({b}, lambda x, i: not list_contains({a}, x) and list_position({b}, x) = i)"""
+_step("merged", ["matched"], f"""
+  select doc_id, field, sent_no, list_concat(t, {_NEW_IN.format(a='t', b='f')}) kws from matched""")
+
+
+def _tfidf_steps(prefix: str, tokens: str, documents: str) -> None:
+    """Weights of the words in step `tokens` (doc_id, field, word); `documents` has (doc_id, field)."""
+    _step(f"{prefix}tf", [tokens], f"""
+      select doc_id, field, word term, count(*) tf from {tokens} where length(word) >= 2 group by all""")
+    _step(f"{prefix}tfidf", [f"{prefix}tf", documents], f"""
+      select doc_id, field, term, tf, v / sqrt(sum(v * v) over (partition by doc_id, field)) tfidf from (
+        select doc_id, field, term, tf, tf * (ln((1 + n) / (1 + df)) + 1) v
+        from {prefix}tf join (select field, term, count(*) df from {prefix}tf group by all) using (field, term)
+             join (select field, count(*) n from {documents} group by all) using (field))""")
+    _step(f"{prefix}terms", [f"{prefix}tfidf"], f"""
+      select doc_id, field, term from {prefix}tfidf where round(tfidf, 9) > 0.09""")
+
+
+_tfidf_steps("", "kwtok", "normal")
+_step("mergetok", ["merged"], """
+  select doc_id, field, sent_no, cast(generate_subscripts(kws, 1) - 1 as bigint) pos, unnest(kws) word
+  from merged""")
+_tfidf_steps("m_", "mergetok", "normal")
+_step("reduced", ["kw", "kwtok", "terms"], """
+  select doc_id, field, sent_no, coalesce(s, '') s from kw left join (
+    select doc_id, field, sent_no, string_agg(replace(word, '_', ' '), ' ' order by pos) s
+    from kwtok semi join terms on terms.doc_id = kwtok.doc_id and terms.field = kwtok.field
+         and terms.term = kwtok.word
+    group by all) using (doc_id, field, sent_no)""")
+
+# Base forms.
+_step("lexicon", ["df"], "select distinct term form from df where df >= 2")
+_RULES = " ".join(
+    f"union all select word, left(word, length(word) - {len(s)}) || {_quote(e)} from w where suffix(word, {_quote(s)})"
+    for s, e in NOUN_SUFFIX_RULES)
+_IRREGULAR = ", ".join(f"({_quote(w)}, {_quote(b)})" for w, b in NOUN_EXCEPTIONS)
+_step("allwords", ["tok"], "select distinct word from tok")
+_step("lemma", ["allwords", "lexicon"], f"""
+  with w as (select word from allwords),
+  forms as (select word, word form from w {_RULES}
+            union all select word, base from w join (values {_IRREGULAR}) x(word, base) using (word))
+  select word, coalesce(form, word) lemma from w left join (
+    select word, form from forms join lexicon using (form) where form <> ''
+    qualify row_number() over (partition by word order by length(form), form) = 1) using (word)""")
+
+# Index words of the full pipeline, and both pipelines together.
+_step("s1word", ["mergetok", "m_terms", "lemma"], """
+  select doc_id, field, lemma term from (
+    select doc_id, field, unnest(string_split(replace(word, '_', ' '), ' ')) word
+    from mergetok semi join m_terms t on t.doc_id = mergetok.doc_id and t.field = mergetok.field
+         and t.term = mergetok.word) join lemma using (word)""")
+_step("word_s1", ["s1word"], "select doc_id, field, term from s1word")
+_step("word_both", ["s1word", "word"], """
+  select doc_id, 'System_1.' || field field, term from s1word
+  union all select doc_id, 'System_2.' || field, term from word""")
+_step("raw_text", ["corpus"], """
+  select doc_id, 'title' field, title text from corpus
+  union all select doc_id, 'abstract', abstract from corpus""")
+_step("word_raw", ["raw_text"], f"""
+  select doc_id, field, unnest({_standard_sql('text')}) term from raw_text""")
+for _s in ("_s1", "_both", "_raw"):
+    _step(f"post{_s}", [f"word{_s}"], f"select doc_id, field, term, count(*) tf from word{_s} group by all")
+    _step(f"dl{_s}", [f"word{_s}"], f"select doc_id, field, count(*) dl from word{_s} group by all")
+    _step(f"df{_s}", [f"post{_s}"], f"select field, term, count(*) df from post{_s} group by all")
+    _step(f"fs{_s}", [f"dl{_s}"], f"""
+      select field, count(*) n_docs, cast(sum(dl) as double) / count(*) avgdl from dl{_s} group by all""")
+
+
 # ---------------------------------------------------------------- ranked search
 
 def _clauses(query: MatchQuery) -> list[str]:
