@@ -53,10 +53,10 @@ def to_ascii(c: Column) -> Column:
         spelled = F.regexp_replace(spelled, r"[^\x00-\x7F]", "")
         return F.when(_is_ascii(folded), folded).otherwise(spelled)
 
-    return F.when(_is_ascii(c), c).otherwise(_bind(F.translate(c, source, target), spell))
+    return F.when(_is_ascii(c), c).otherwise(bind(F.translate(c, source, target), spell))
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use(value)` with `value` computed once per row, however often `use` mentions it."""
     return F.transform(F.array(value), use)[0]
 
@@ -78,7 +78,7 @@ def _marked(c: Column) -> Column:
 def _words_only(c: Column) -> Column:
     """Punctuation and digits become spaces, spaces are single, fused words are set apart."""
     spaced = F.trim(F.regexp_replace(c, NON_WORD_RUN, " "))
-    return _bind(spaced, lambda s: F.when(
+    return bind(spaced, lambda s: F.when(
         reduce(or_, [F.contains(s, F.lit(word)) for word in FUSED_SAMPLES]),
         F.regexp_replace(s, FUSED_WORDS, FUSED_WORDS_APART)).otherwise(s))
 

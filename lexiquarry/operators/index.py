@@ -49,7 +49,9 @@ def build_postings(words: DataFrame, attributes: Iterable[str] = (), positions:
     """
     attributes = list(attributes)
     sized = words.withColumn("dl", F.size("words").cast("long"))
-    rows = sized.select("field", "doc_id", "dl", *attributes, F.posexplode("words").alias("pos", "term"))
+    # Outer form plus null filter: else an added size filter would cut the text into words once more.
+    rows = (sized.select("field", "doc_id", "dl", *attributes, F.posexplode_outer("words").alias("pos", "term"))
+            .where(F.col("term").isNotNull()))
     measures = [F.count("*").alias("tf")]
     if positions:
         measures.append(F.array_sort(F.collect_list("pos")).alias("positions"))

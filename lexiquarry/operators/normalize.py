@@ -47,8 +47,13 @@ def remove_stop_words(sentences: DataFrame, stop_words: list[str] | None = None)
 
 
 def explode_sentences(sentences: DataFrame, column: str = "sentences") -> DataFrame:
-    """(doc_id, field, sent_no, sentence), sent_no from 0."""
-    return (sentences.select("doc_id", "field", F.posexplode(column).alias("sent_no", "sentence"))
+    """(doc_id, field, sent_no, sentence), sent_no from 0.
+
+    The outer form plus a null filter: for the plain form the optimizer adds a size filter below the
+    projection that makes the array, and the whole text would be normalised twice.
+    """
+    return (sentences.select("doc_id", "field", F.posexplode_outer(column).alias("sent_no", "sentence"))
+            .where(F.col("sentence").isNotNull())
             .withColumn("sent_no", F.col("sent_no").cast("long")))
 
 

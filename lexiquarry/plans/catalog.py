@@ -390,16 +390,16 @@ def match_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("match_date", o._chain("""
-    select doc_id, publish_raw from corpus where publish_time = date '2020-08-15'""", "corpus"))
+    select doc_id, publish_raw from corpus where publish_time = date '2020-03-15'""", "corpus"))
 def match_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return se.match_date(load_corpus(spark, sf_dir), "publish_time", "2020-08-15").select(
+    return se.match_date(load_corpus(spark, sf_dir), "publish_time", "2020-03-15").select(
         "doc_id", "publish_raw")
 
 
 @register("match_date_text", o._chain("""
-    select doc_id, publish_raw from corpus where publish_raw = '2020-08-15'""", "corpus"))
+    select doc_id, publish_raw from corpus where publish_raw = '2020-03-15'""", "corpus"))
 def match_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return se.match_date_text(load_corpus(spark, sf_dir), "publish_raw", "2020-08-15").select(
+    return se.match_date_text(load_corpus(spark, sf_dir), "publish_raw", "2020-03-15").select(
         "doc_id", "publish_raw")
 
 
