@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lexiquarry.functions import text as tx
 
+DOCUMENT = ["doc_id", "field"]
+SENTENCE = [*DOCUMENT, "sent_no"]
 PROCESSED = {"pr_title": "title", "pr_abstract": "abstract"}
 
 

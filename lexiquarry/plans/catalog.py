@@ -61,6 +61,11 @@ def _plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nz.remove_stop_words(nz.normalize_fields(load_corpus(spark, sf_dir)))
 
 
+def _settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stage table, for operators that read it several times."""
+    return settle(_plain(spark, sf_dir), "plain")
+
+
 def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
@@ -216,12 +221,12 @@ def trigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("bigram_pmi", o._chain("select gram, n, round(pmi, 6) pmi from bipmi", "bipmi"))
 def bigram_pmi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(kw.bigram_pmi(_plain(spark, sf_dir)), "pmi").select("gram", "n", "pmi")
+    return _rounded(kw.bigram_pmi(_settled(spark, sf_dir)), "pmi").select("gram", "n", "pmi")
 
 
 @register("trigram_pmi", o._chain("select gram, n, round(pmi, 6) pmi from tripmi", "tripmi"))
 def trigram_pmi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(kw.trigram_pmi(_plain(spark, sf_dir)), "pmi").select("gram", "n", "pmi")
+    return _rounded(kw.trigram_pmi(_settled(spark, sf_dir)), "pmi").select("gram", "n", "pmi")
 
 
 _DICTIONARY = "select phrase, clean, cast(n_words as bigint) n_words, round(score, 6) score from"
@@ -229,7 +234,7 @@ _DICTIONARY = "select phrase, clean, cast(n_words as bigint) n_words, round(scor
 
 @register("frequent_dictionary", o._chain(f"{_DICTIONARY} freqdict", "freqdict"))
 def frequent_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(kw.frequent_dictionary(_plain(spark, sf_dir)), "score")
+    return _rounded(kw.frequent_dictionary(_settled(spark, sf_dir)), "score")
 
 
 @register("textrank_words", o._chain("""
@@ -243,18 +248,18 @@ def textrank_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, field, phrase, cast(n_words as bigint) n_words, round(score, 6) score
     from tr_phrases""", "tr_phrases"))
 def textrank_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(tr.rank_phrases(_plain(spark, sf_dir)), "score")
+    return _rounded(tr.rank_phrases(_settled(spark, sf_dir)), "score")
 
 
 @register("textrank_dictionary", o._chain(f"{_DICTIONARY} trdict", "trdict"))
 def textrank_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(tr.textrank_dictionary(tr.rank_phrases(_plain(spark, sf_dir))), "score")
+    return _rounded(tr.textrank_dictionary(tr.rank_phrases(_settled(spark, sf_dir))), "score")
 
 
 @register("dictionary_sizes", o._chain(
     "select source, count(distinct phrase) n_phrases from dict group by 1", "dict"))
 def dictionary_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = _plain(spark, sf_dir)
+    plain = _settled(spark, sf_dir)
     return tr.dictionary_sizes({
         "frequent": kw.frequent_dictionary(plain),
         "textrank": tr.textrank_dictionary(tr.rank_phrases(plain))})
@@ -264,16 +269,16 @@ def dictionary_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, field, sent_no, source, start, cast(n_words as bigint) n_words, clean
     from matches""", "matches"))
 def keyword_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = _plain(spark, sf_dir)
+    plain = _settled(spark, sf_dir)
     return ma.keyword_matches(plain, pl.keyword_dictionary(plain), tr.MAX_PHRASE_WORDS)
 
 
 @register("merge_keywords", o._chain(
     "select doc_id, field, sent_no, array_to_string(kws, ' ') keywords from merged", "merged"))
 def merge_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = _plain(spark, sf_dir)
+    plain = _settled(spark, sf_dir)
     merged = ma.merge_keywords(pl.match_both(plain, pl.keyword_dictionary(plain)))
-    return merged.withColumn("keywords", F.array_join("keywords", " "))
+    return nz.explode_sentences(merged).withColumnRenamed("sentence", "keywords")
 
 
 @register("merge_keyword_sentences", o._chain(f"""
@@ -283,8 +288,9 @@ def merge_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
                list(array_to_string(f, ' ') order by sent_no) b
         from matched group by all))""", "matched"))
 def merge_keyword_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = _plain(spark, sf_dir)
-    return ma.merge_keyword_sentences(pl.match_both(plain, pl.keyword_dictionary(plain)))
+    plain = _settled(spark, sf_dir)
+    merged = ma.merge_keyword_sentences(pl.match_both(plain, pl.keyword_dictionary(plain)))
+    return nz.explode_sentences(merged).withColumnRenamed("sent_no", "pos")
 
 
 @register("tfidf", o._chain("select doc_id, field, term, tf, round(tfidf, 6) tfidf from tfidf", "tfidf"))
@@ -305,13 +311,13 @@ _REDUCED_SQL = """
 
 @register("tfidf_sentences", o._chain(_REDUCED_SQL.format(where="where s <> ''"), "reduced"))
 def tfidf_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = _plain(spark, sf_dir)
+    plain = _settled(spark, sf_dir)
     return nz.explode_sentences(ti.reduce_to_terms(plain, ti.best_terms(ti.tfidf(plain))))
 
 
 @register("tfidf_sentences_keep_empty", o._chain(_REDUCED_SQL.format(where=""), "reduced"))
 def tfidf_sentences_keep_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = _plain(spark, sf_dir)
+    plain = _settled(spark, sf_dir)
     return nz.explode_sentences(
         ti.reduce_to_terms(plain, ti.best_terms(ti.tfidf(plain)), drop_empty=False))
 

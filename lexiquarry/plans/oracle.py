@@ -347,7 +347,7 @@ def _search_steps(queries: Sequence[MatchQuery], prefix: str = "", suffix: str =
         f"{p}hits": ([f"{p}scored", f"{p}qf"], f"""
           select query_id, rank, doc_id, score from (
             select *, row_number() over (partition by query_id order by score desc, doc_id) rank from {p}scored)
-          where rank <= (select max(size) from {p}qf f where f.query_id = query_id)"""),
+          join (select distinct query_id, size from {p}qf) using (query_id) where rank <= size"""),
     }
 
 

@@ -33,18 +33,17 @@ def keyword_dictionary(sentences: DataFrame) -> DataFrame:
 
 
 def match_both(sentences: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Matched sentences with the columns `textrank` and `frequent`."""
-    longest = max(tr.MAX_PHRASE_WORDS, 2)
-    matches = ma.keyword_matches(sentences, dictionary, longest)
-    return ma.matched_sentences(sentences, matches, ["textrank", "frequent"])
+    """Matches of both sources per document, in sentence order."""
+    return ma.matched_sentences(sentences, dictionary, max(tr.MAX_PHRASE_WORDS, 2))
 
 
 def select_keywords(sentences: DataFrame) -> DataFrame:
     """Sentence form after stop words, dictionary keywords and TF-IDF selection."""
-    plain = nz.remove_stop_words(sentences)
+    # Counts, graphs and matching read these sentences; normalising for each of them would cost more.
+    plain = settle(nz.remove_stop_words(sentences), "plain")
     merged = ma.merge_keywords(match_both(plain, keyword_dictionary(plain)))
     # Read twice, by the weights and by the reduction.
-    texts = settle(ma.sentences_from_keywords(merged), "merged")
+    texts = settle(merged, "merged")
     return ti.reduce_to_terms(texts, ti.best_terms(ti.tfidf(texts)))
 
 
