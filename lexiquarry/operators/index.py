@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiquarry.functions.porter import stem_terms
 from lexiquarry.session import settle
 
 # Above this number of distinct query terms a lookup joins instead of listing the terms.
@@ -71,6 +72,25 @@ def vocabulary(words: DataFrame) -> DataFrame:
             .groupBy("field", "term").agg(F.count("*").alias("df")))
 
 
+def stem_index_words(words: DataFrame) -> DataFrame:
+    """The same table with every word stemmed, for queries that use the "english" analyser.
+
+    Each distinct word is stemmed once; only words that change are looked up in the text.
+    """
+    terms = words.select(F.explode(F.array_distinct("words")).alias("term")).distinct()
+    stems = settle(terms.select("term", stem_terms("term").alias("stem"))
+                   .where(F.col("stem") != F.col("term")), "stems")
+    others = [c for c in words.columns if c not in ("doc_id", "field", "words")]
+    rows = (words.repartition("doc_id", "field")
+            .select("doc_id", "field", *others, F.posexplode_outer("words").alias("pos", "term"))
+            .join(stems, "term", "left"))
+    stemmed = F.sort_array(F.collect_list(F.when(F.col("term").isNotNull(), F.struct(
+        "pos", F.coalesce("stem", "term").alias("w")))))
+    return (rows.groupBy("doc_id", "field", *others)
+            .agg(F.transform(stemmed, lambda r: r["w"]).alias("words"))
+            .select(*words.columns))
+
+
 def _listed(term: Column, terms: list[str]) -> Column:
     return term.isin(*terms) if terms else F.lit(False)
 

@@ -121,7 +121,13 @@ def typed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.withColumn("publish_time", _day("publish_time"))
 
 
-@register("docs_as_json")
+_JSON_COLUMNS = "doc_id title abstract lang source publish_raw publish_time pr_title pr_abstract".split()
+
+
+@register("docs_as_json", o._chain(
+    "select doc_id, cast(to_json({"
+    + ", ".join(f"'{c}': {c.removeprefix('pr_')}" for c in _JSON_COLUMNS)
+    + "}) as varchar) document from corpus", "corpus"))
 def docs_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ar.rows_as_json(ar.with_processed_copies(load_corpus(spark, sf_dir)), "doc_id")
 
@@ -295,12 +301,12 @@ def merge_keyword_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("tfidf", o._chain("select doc_id, field, term, tf, round(tfidf, 6) tfidf from tfidf", "tfidf"))
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(ti.tfidf(_plain(spark, sf_dir)), "tfidf")
+    return _rounded(ti.tfidf(_settled(spark, sf_dir)), "tfidf")
 
 
 @register("tfidf_terms", o._chain("select doc_id, field, term from terms", "terms"))
 def tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ti.best_terms(ti.tfidf(_plain(spark, sf_dir))).select("doc_id", "field", "term")
+    return ti.best_terms(ti.tfidf(_settled(spark, sf_dir))).select("doc_id", "field", "term")
 
 
 _REDUCED_SQL = """
@@ -323,9 +329,8 @@ def tfidf_sentences_keep_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lemma_table(normal: DataFrame) -> DataFrame:
-    words = nz.words_of_sentences(normal)
-    lexicon = lm.corpus_lexicon(ix.vocabulary(words))
-    return lm.lemmas(words.select(F.explode("words").alias("word")), lexicon)
+    terms = ix.vocabulary(nz.words_of_sentences(normal))
+    return lm.lemmas(terms.select(F.col("term").alias("word")), lm.corpus_lexicon(terms))
 
 
 @register("lemmas", o._chain("select word, lemma from lemma", "lemma"))
@@ -339,7 +344,7 @@ def lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
       from tok join lemma using (word) group by all) using (doc_id, field, sent_no)""",
     "sent", "tok", "lemma"))
 def lemmatized_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    normal = nz.normalize_fields(load_corpus(spark, sf_dir))
+    normal = settle(nz.normalize_fields(load_corpus(spark, sf_dir)), "normal")
     return nz.explode_sentences(lm.lemmatize_sentences(normal, settle(_lemma_table(normal), "lemmas")))
 
 

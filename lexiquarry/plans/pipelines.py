@@ -8,7 +8,6 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.functions.text import flat_words
 from lexiquarry.operators import index as ix
 from lexiquarry.operators import keywords as kw
 from lexiquarry.operators import lemmatize as lm
@@ -48,13 +47,13 @@ def select_keywords(sentences: DataFrame) -> DataFrame:
 
 
 def lemmatize(sentences: DataFrame, lexicon: DataFrame) -> DataFrame:
-    words = sentences.select(F.explode(flat_words(F.col("sentences"))).alias("word"))
+    words = ix.vocabulary(nz.words_of_sentences(sentences)).select(F.col("term").alias("word"))
     return lm.lemmatize_sentences(sentences, settle(lm.lemmas(words, lexicon), "lemmas"))
 
 
 def system1_words(articles: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Full pipeline: normalise, select keywords, lemmatise. (doc_id, field, words, publish_time)."""
-    normal = nz.normalize_fields(articles)
+    normal = settle(nz.normalize_fields(articles), "normal")
     if lexicon is None:
         lexicon = lm.corpus_lexicon(ix.vocabulary(nz.words_of_sentences(normal)))
     selected = settle(select_keywords(normal), "selected")

@@ -151,3 +151,15 @@ def test_filters(spark):
     assert [r.doc_id for r in se.field_exists(dated, "note").orderBy("doc_id").collect()] == [1, 3]
     assert [r.doc_id for r in se.must_not_equal(dated, "note", "None").orderBy("doc_id").collect()] == [2, 3]
     assert [(r.doc_id, r.score) for r in se.match_all(dated, 2).collect()] == [(1, 1.0), (2, 1.0)]
+
+
+def test_stemmed_index(spark):
+    texts = {1: "masks mask wearing", 2: "effectiveness", 3: ""}
+    words = spark.createDataFrame([(d, "t", w.split(), None) for d, w in texts.items()], SCHEMA)
+    stemmed = ix.stem_index_words(words)
+    assert {r.doc_id: r.words for r in stemmed.collect()} == {1: ["mask", "mask", "wear"], 2: ["effect"], 3: []}
+    query = se.MatchQuery("q", "The effectiveness of a mask", {"t": 1.0}, analyzer="english")
+    plain = se.multi_match(ix.LiveIndex(words, ("publish_time",)), [query], spark)
+    assert [r.doc_id for r in plain.collect()] == [1]
+    both = se.multi_match(ix.LiveIndex(stemmed, ("publish_time",)), [query], spark)
+    assert sorted(r.doc_id for r in both.collect()) == [1, 2]
