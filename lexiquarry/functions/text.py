@@ -13,7 +13,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiquarry.functions.fixed import STOP_WORDS, ascii_spellings
+from lexiquarry.functions.fixed import LETTER_SPELLINGS, STOP_WORDS, ascii_spellings
 
 SENTENCE_MARK = "\u0001"
 
@@ -43,17 +43,29 @@ def _spellings() -> tuple[str, str, dict[str, str]]:
 
 
 def to_ascii(c: Column) -> Column:
-    """ASCII spelling of a text. Pure ASCII rows (byte length = character length) skip the work."""
+    """ASCII spelling of a text.
+
+    Rows that are ASCII (byte length = character length) leave after each stage: first letters with
+    one-letter spellings, then the usual ligatures, then all other spellings; what remains is dropped.
+    """
     source, target, longer = _spellings()
+    ligatures = {k: v for k, v in longer.items() if k in LETTER_SPELLINGS}
+    others = {k: v for k, v in longer.items() if k not in ligatures}
+
+    def spell(text: Column, table: dict[str, str]) -> Column:
+        for char, spelling in table.items():
+            text = F.replace(text, F.lit(char), F.lit(spelling))
+        return text
+
+    def rest(text: Column) -> Column:
+        return _unless_ascii(text, lambda t: F.regexp_replace(spell(t, others), r"[^\x00-\x7F]", ""))
 
-    def spell(folded: Column) -> Column:
-        spelled = folded
-        for char, spelling in longer.items():
-            spelled = F.replace(spelled, F.lit(char), F.lit(spelling))
-        spelled = F.regexp_replace(spelled, r"[^\x00-\x7F]", "")
-        return F.when(_is_ascii(folded), folded).otherwise(spelled)
+    return _unless_ascii(c, lambda t: bind(F.translate(t, source, target), lambda u: _unless_ascii(
+        u, lambda v: bind(spell(v, ligatures), rest))))
 
-    return F.when(_is_ascii(c), c).otherwise(bind(F.translate(c, source, target), spell))
+
+def _unless_ascii(text: Column, change: Callable[[Column], Column]) -> Column:
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(change(text))
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -61,10 +73,6 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _is_ascii(c: Column) -> Column:
-    return F.octet_length(c) == F.char_length(c)
-
-
 def _folded(c: Column) -> Column:
     return F.lower(to_ascii(c))
 
