@@ -18,6 +18,10 @@ RECOMMENDED_CONF = {
 }
 
 
+# Stage folders of local sessions without a configured one; the setting itself is fixed at start.
+_LOCAL_STAGE_DIRS: dict[str, str] = {}
+
+
 def build_session(app_name: str = "lexiquarry", master: str | None = None, **conf: str) -> SparkSession:
     """Return a session with the recommended settings; `conf` uses `_` for `.` in keys."""
     builder = SparkSession.builder.appName(app_name)
@@ -39,9 +43,10 @@ def stage_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    named = tempfile.mkdtemp(prefix="lexiquarry-stage-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_STAGE_DIRS:
+        _LOCAL_STAGE_DIRS[application] = tempfile.mkdtemp(prefix="lexiquarry-stage-")
+    return _LOCAL_STAGE_DIRS[application]
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
