@@ -56,9 +56,10 @@ def leftmost_longest(words, phrases, longest):
     return found
 
 
-@pytest.mark.parametrize("size", [12, 300])
-def test_matches_against_brute_force(spark, sentence_table, size):
-    """The longer sentences take the per-chain path."""
+@pytest.mark.parametrize(("size", "small"), [(12, 200_000), (300, 200_000), (300, 0)])
+def test_matches_against_brute_force(spark, sentence_table, monkeypatch, size, small):
+    """The longer sentences take the per-chain path; the last case treats the dictionary as big."""
+    monkeypatch.setattr(ma, "SMALL_DICTIONARY", small)
     documents = random_documents(7, size=size)
     rng = random.Random(3)
     words = [w for ss in documents.values() for s in ss for w in s.split()]
