@@ -117,19 +117,23 @@ def _cut_long(data: np.ndarray, separators: np.ndarray) -> list[np.ndarray]:
     return [*pieces, data[at:]]
 
 
-def words_by_row(column: pa.Array, separators: np.ndarray = SPACE_TABLE) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, hashes of its words in order) for every row of a text column."""
+def words_by_row(column: pa.Array, separators: np.ndarray = SPACE_TABLE,
+                 hashes_of: Callable = hash_words) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, hashes of its words in order) for every row of a text column.
+
+    `hashes_of` may return several values for each word, one word per row of a matrix.
+    """
     data, offsets = text_buffers(column)
     for first, last in row_blocks(offsets):
         block = data[offsets[first]:offsets[last]]
         if last - first == 1 and len(block) > BLOCK_BYTES:
-            parts = [hash_words(p, *word_bounds(p, np.zeros(0, np.int64), separators))
+            parts = [hashes_of(p, *word_bounds(p, np.zeros(0, np.int64), separators))
                      for p in _cut_long(block, separators)]
             yield first, np.concatenate(parts)
             continue
         breaks = offsets[first:last + 1] - offsets[first]
         starts, ends = word_bounds(block, breaks, separators)
-        hashes = hash_words(block, starts, ends)
+        hashes = hashes_of(block, starts, ends)
         cuts = np.searchsorted(starts, breaks)
         for i in range(last - first):
             yield first + i, hashes[cuts[i]:cuts[i + 1]]

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.llm import chat_format as cf
+from lexiquarry.llm import language as lg
+from lexiquarry.llm import quality as ql
+from lexiquarry.llm import toxicity as tx
+from lexiquarry.llm.sampling import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +80,40 @@ def _chat_oracle() -> str:
 
 
 ORACLES["op6_chat_format"] = _chat_oracle()
+
+
+TOXIC_CATEGORIES = ("junk", "toxic", "abusive_junk")
+
+
+def toxicity_labels(labels: DataFrame) -> DataFrame:
+    """The categories that the label table supports, in chain order: low quality, toxic, and both."""
+    junk, toxic = F.col("quality") == 0, F.col("toxic") == 1
+    return labels.select("doc_id", junk.cast("int").alias("junk"), toxic.cast("int").alias("toxic"),
+                         (junk & toxic).cast("int").alias("abusive_junk"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = toxicity_labels(labels).where(~held_out(F.col("doc_id")))
+    chain = tx.fit_toxicity(docs, learn, TOXIC_CATEGORIES)
+    scored = tx.score_toxicity(docs, chain)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                         (F.col("p_toxic") >= chain.threshold("toxic")).cast("int").alias("toxic"),
+                         *[f"p_{c}" for c in TOXIC_CATEGORIES])
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    forest = ql.fit_quality(docs, labels.where(~held_out(F.col("doc_id"))))
+    return ql.score_quality(docs, forest).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = lg.fit_languages(docs.where(~held_out(F.col("doc_id"))))
+    return lg.predict_languages(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
