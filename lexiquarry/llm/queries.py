@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from lexiquarry.llm import chat_format as cf
 from lexiquarry.llm import language as lg
 from lexiquarry.llm import quality as ql
+from lexiquarry.llm import token_files as tf
 from lexiquarry.llm import toxicity as tx
 from lexiquarry.llm.sampling import held_out
+from lexiquarry.llm.storage import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +119,18 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = lg.fit_languages(docs.where(~held_out(F.col("doc_id"))))
     return lg.predict_languages(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    tf.write_token_files(tf.encode_in_order(docs, tokenizer_file("word_bpe_49k.json"), end_id=1), path)
+    read = tf.read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids")
+    return tf.ids_checksum(read)

@@ -126,7 +126,7 @@ def _presence(docs: list[np.ndarray], buckets: np.ndarray) -> np.ndarray:
 
 
 def _solve(x: np.ndarray, curvature: np.ndarray, penalty: np.ndarray, pull: np.ndarray) -> np.ndarray:
-    """(x' diag(curvature) x + diag(penalty)) \ pull by conjugate gradients."""
+    """Solve (x' diag(curvature) x + diag(penalty)) step = pull by conjugate gradients."""
     step, left = np.zeros(len(pull)), pull.copy()
     scale = 1 / ((x**2).T @ curvature + penalty)
     along = scale * left
