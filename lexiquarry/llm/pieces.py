@@ -11,7 +11,7 @@ def distinct_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> t
     sizes = ends - starts
     inside = np.zeros(len(data) + 1, np.int8)
     inside[starts] += 1
-    np.subtract.at(inside, ends, 1)
+    inside[ends] -= 1  # pieces do not overlap, so no place ends two of them
     flat = np.ascontiguousarray(data[np.cumsum(inside[:-1]) > 0])
     offsets = np.zeros(len(sizes) + 1, np.int64)
     np.cumsum(sizes, out=offsets[1:])
@@ -21,6 +21,14 @@ def distinct_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> t
     return np.array(coded.indices), coded.dictionary.to_pylist()
 
 
+def marked(n: int, *places: np.ndarray) -> np.ndarray:
+    """The given places below n, ascending and each once."""
+    marks = np.zeros(n, bool)
+    for p in places:
+        marks[p[p < n]] = True
+    return np.flatnonzero(marks)
+
+
 def gather(values: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenation of list number index[0], index[1], ... and the bounds of each in it.
 

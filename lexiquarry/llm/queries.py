@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexiquarry.llm import chat_format as cf
 from lexiquarry.llm import language as lg
 from lexiquarry.llm import quality as ql
+from lexiquarry.llm import sentencepiece_scan as sp
 from lexiquarry.llm import token_files as tf
 from lexiquarry.llm import toxicity as tx
 from lexiquarry.llm.sampling import held_out
@@ -134,3 +135,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tf.write_token_files(tf.encode_in_order(docs, tokenizer_file("word_bpe_49k.json"), end_id=1), path)
     read = tf.read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids")
     return tf.ids_checksum(read)
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
+    coded = sp.encode_pieces(docs, model, keep=["crc"])
+    read = sp.decode_pieces(coded.withColumn("kept", F.col("ids")), model)
+    return read.select("doc_id", "n_tokens", F.col("kept").alias("ids"), (F.crc32("text") == F.col("crc")).alias("round_trip"))

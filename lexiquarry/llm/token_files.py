@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiquarry.llm import arrays as ar
-from lexiquarry.llm.pieces import Memo, distinct_pieces, gather
+from lexiquarry.llm.pieces import Memo, distinct_pieces, gather, marked
 
 BLOCK_BYTES = 4 << 20
 ROW_GROUP_BYTES = 32 << 20
@@ -68,9 +68,9 @@ class WordEncoder:
     def block(self, data: np.ndarray, breaks: np.ndarray, ended: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows of a block, each with its end id if `ended`, and their bounds."""
         starts, ends = ar.word_bounds(data, breaks, ar.SPACE_TABLE)
+        # Between two rows there is a border anyway, if both touch it with a word.
         cuts = np.flatnonzero(_LETTER[data[:-1]] & _OTHER[data[1:]]) + 1
-        cuts = np.setdiff1d(cuts, breaks, assume_unique=False)
-        starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
+        starts, ends = marked(len(data), starts, cuts), marked(len(data) + 1, ends, cuts)
         index, distinct = distinct_pieces(ar.FOLD[data], starts, ends)
         known = self.memo.lookup(distinct, self._library)
         values = np.frombuffer(b"".join(known) + np.int32(self.end_id).tobytes(), np.int32)
