@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.llm import chat_format as cf
 from lexiquarry.llm import language as lg
+from lexiquarry.llm import ngram_join as nj
 from lexiquarry.llm import quality as ql
 from lexiquarry.llm import sentencepiece_scan as sp
 from lexiquarry.llm import token_files as tf
@@ -145,3 +146,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sp.encode_pieces(docs, model, keep=["crc"])
     read = sp.decode_pieces(coded.withColumn("kept", F.col("ids")), model)
     return read.select("doc_id", "n_tokens", F.col("kept").alias("ids"), (F.crc32("text") == F.col("crc")).alias("round_trip"))
+
+
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nj.similarity_classes(table(spark, sf_dir, "documents"))
