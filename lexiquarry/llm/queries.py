@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.llm import chat_format as cf
+from lexiquarry.llm import decontaminate as dc
 from lexiquarry.llm import language as lg
 from lexiquarry.llm import ngram_join as nj
 from lexiquarry.llm import quality as ql
@@ -151,3 +152,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nj.similarity_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dc.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -156,7 +156,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     # One row per file part; the sums run over the parts, the rows keep their order inside them.
     parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
-    placed = rows.join(parts.select("part", before.alias("before")), "part")
+    # There are at most spark.sql.shuffle.partitions parts, so their sums may be broadcast.
+    placed = rows.join(F.broadcast(parts.select("part", before.alias("before"))), "part")
     return placed.withColumn("start", F.col("before") + F.col("start_in_part")).drop("part", "before", "start_in_part")
 
 
