@@ -13,6 +13,7 @@ from lexiquarry.llm import language as lg
 from lexiquarry.llm import ngram_join as nj
 from lexiquarry.llm import quality as ql
 from lexiquarry.llm import sentencepiece_scan as sp
+from lexiquarry.llm import substring_chain as sc
 from lexiquarry.llm import token_files as tf
 from lexiquarry.llm import toxicity as tx
 from lexiquarry.llm.sampling import held_out
@@ -157,3 +158,8 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dc.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_substring_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sc.repeated_passages(table(spark, sf_dir, "documents"))
