@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiquarry.llm import ann_graph as ag
 from lexiquarry.llm import chat_format as cf
 from lexiquarry.llm import decontaminate as dc
 from lexiquarry.llm import language as lg
@@ -163,3 +164,9 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sc.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ag.nearest(ag.build_index(rows), rows.where(F.col("vec_id") % 20 == 0))
