@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lexiquarry.llm import ann_graph as ag
 from lexiquarry.llm import chat_format as cf
 from lexiquarry.llm import decontaminate as dc
@@ -18,6 +19,7 @@ from lexiquarry.llm import substring_chain as sc
 from lexiquarry.llm import token_files as tf
 from lexiquarry.llm import toxicity as tx
 from lexiquarry.llm.sampling import held_out
+from lexiquarry.llm.stages import TOXIC_CATEGORIES, fit_chain, model_file
 from lexiquarry.llm.storage import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,21 +91,10 @@ def _chat_oracle() -> str:
 ORACLES["op6_chat_format"] = _chat_oracle()
 
 
-TOXIC_CATEGORIES = ("junk", "toxic", "abusive_junk")
-
-
-def toxicity_labels(labels: DataFrame) -> DataFrame:
-    """The categories that the label table supports, in chain order: low quality, toxic, and both."""
-    junk, toxic = F.col("quality") == 0, F.col("toxic") == 1
-    return labels.select("doc_id", junk.cast("int").alias("junk"), toxic.cast("int").alias("toxic"),
-                         (junk & toxic).cast("int").alias("abusive_junk"))
-
-
 @query
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    learn = toxicity_labels(labels).where(~held_out(F.col("doc_id")))
-    chain = tx.fit_toxicity(docs, learn, TOXIC_CATEGORIES)
+    chain = fit_chain(docs, labels)
     scored = tx.score_toxicity(docs, chain)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
                          (F.col("p_toxic") >= chain.threshold("toxic")).cast("int").alias("toxic"),
@@ -126,17 +117,17 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
-def tokenizer_file(name: str) -> str:
+def tokenizer_file() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(name)
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "tokens")
     docs = table(spark, sf_dir, "documents")
-    tf.write_token_files(tf.encode_in_order(docs, tokenizer_file("word_bpe_49k.json"), end_id=1), path)
+    tf.write_token_files(tf.encode_in_order(docs, tokenizer_file(), end_id=1), path)
     read = tf.read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids")
     return tf.ids_checksum(read)
 
@@ -144,7 +135,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text back."""
-    model = tokenizer_file("piece_bpe_32k.model")
+    model = model_file()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
     coded = sp.encode_pieces(docs, model, keep=["crc"])
     read = sp.decode_pieces(coded.withColumn("kept", F.col("ids")), model)
@@ -170,3 +161,8 @@ def op10_substring_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return ag.nearest(ag.build_index(rows), rows.where(F.col("vec_id") % 20 == 0))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
