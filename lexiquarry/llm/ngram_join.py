@@ -7,8 +7,8 @@
    joined; pairs pass a length and a positional filter there, then a suffix filter that bounds the
    overlap by the counts of n-grams in 64 ranges.
 4. Only classes of links are asked for, so pairs inside a class already known are never made. Some star
-   rounds link each document to one candidate (its prefix n-gram's pivot), which settles groups of copies with
-   one pair per document. Then all pairs of different classes that still share a prefix n-gram are
+   rounds link each document to one candidate (its prefix n-gram's pivot, first the most typical document),
+   which settles groups of copies with one pair per document. Then all pairs of different classes that still share a prefix n-gram are
    made, in square blocks where many documents share it, so nothing is capped.
 5. A pair is verified once, on the whole sets.
 
@@ -53,23 +53,29 @@ def document_sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, np.nd
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, order) -> DataFrame:
-    """(id, n, h1, h2, prefix, ranges) of every row; h1 and h2 stand for the set."""
+    """(id, n, h1, h2, common, prefix, ranges) of every row.
+
+    h1 and h2 stand for the set; `common` is the mean count of its n-grams, so it is largest for the documents
+    in the middle of a group of near copies, whose n-grams the others share.
+    """
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         counts = order.value
-        n, h1, h2, prefix, ranges = [], [], [], [], []
+        n, h1, h2, common, prefix, ranges = [], [], [], [], [], []
         for _, tokens in document_sets(batch, size):
             kept = len(tokens) - (len(tokens) * percent + 99) // 100 + 1 if len(tokens) else 0
-            rare = np.lexsort((tokens, counts[sk.bucket_of(tokens, ORDER_BITS)]))[:kept]
+            count = counts[sk.bucket_of(tokens, ORDER_BITS)]
+            rare = np.lexsort((tokens, count))[:kept]
+            common.append(count.mean() if len(tokens) else 0.0)
             n.append(len(tokens))
             h1.append(ar.mix(tokens).sum(dtype=np.uint64))
             h2.append(np.bitwise_xor.reduce(ar.mix(tokens ^ np.uint64(0x5851F42D4C957F2D))) if len(tokens) else np.uint64(0))
             prefix.append(ar.signed(tokens[rare]))
             ranges.append(np.bincount(sk.bucket_of(tokens, 6), minlength=RANGES))
         yield {"id": batch.column(0), "n": n, "h1": ar.signed(np.array(h1, np.uint64)),
-               "h2": ar.signed(np.array(h2, np.uint64)), "prefix": ar.list_column(prefix, pa.int64()),
+               "h2": ar.signed(np.array(h2, np.uint64)), "common": common, "prefix": ar.list_column(prefix, pa.int64()),
                "ranges": ar.list_column(ranges, pa.int32())}
 
-    return ar.map_arrow(docs, work, "id long, n int, h1 long, h2 long, prefix array<long>, ranges array<int>")
+    return ar.map_arrow(docs, work, "id long, n int, h1 long, h2 long, common double, prefix array<long>, ranges array<int>")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -116,10 +122,10 @@ def similarity_classes(documents: DataFrame, key: str = "doc_id", text: str = "t
     order = docs.sparkSession.sparkContext.broadcast(counts)
     rows = settle(_prefixes(docs, size, percent, order), "prefixes")
     same = ["n", "h1", "h2"]
-    best = F.min(F.struct("id", "prefix", "ranges"))
+    best = F.min(F.struct("id", "common", "prefix", "ranges"))
     classes = settle(rows.where("n > 0 and id is not null").groupBy(*same).agg(best.alias("r")).select(*same, "r.*"), "classes")
 
-    postings = classes.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
+    postings = classes.select("id", "n", "common", F.posexplode("prefix").alias("pos", "token"))
     several = postings.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
     shared = settle(postings.join(several, "token"), "postings")
 
@@ -150,9 +156,10 @@ def similarity_classes(documents: DataFrame, key: str = "doc_id", text: str = "t
 def _star_pairs(at: DataFrame, round_: int, percent: int) -> DataFrame:
     """One pair (a, b) for each document at most: with the pivot of one of its prefix n-grams.
 
-    A pivot is the document of the n-gram with the smallest hash, another one in each round.
+    In the first round the pivot of an n-gram is its document with the most common n-grams of all, later the
+    one with the smallest hash, another one in each round.
     """
-    rank = F.xxhash64(F.col("id"), F.lit(round_))
+    rank = F.struct((F.lit(0.0) if round_ else -F.col("common")).alias("first"), F.xxhash64(F.col("id"), F.lit(round_)).alias("then"))
     pivots = at.groupBy("token").agg(F.min(F.struct(
         rank.alias("rank"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
         F.col("component").alias("cb"))).alias("p"))
