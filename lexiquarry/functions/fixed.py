@@ -100,13 +100,19 @@ def ascii_spellings() -> tuple[str, str, dict[str, str]]:
     Accented Latin letters come from Unicode decomposition, not from a table.
     """
     table: dict[str, str] = {}
-    for code in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
+    # Latin letters with marks, ligatures and full-width forms.
+    for code in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]:
         base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 128)
         if base:
             table[chr(code)] = base
     for small, spelling in {**GREEK_SPELLINGS, **CYRILLIC_SPELLINGS}.items():
         table[small] = spelling
         table[small.upper()] = spelling.capitalize()
+    # Greek and Cyrillic letters with marks are spelt as their base letter.
+    for code in [*range(0x0370, 0x0460), *range(0x1F00, 0x2000)]:
+        base = unicodedata.normalize("NFKD", chr(code))[0]
+        if chr(code) not in table and base in table and unicodedata.category(chr(code))[0] == "L":
+            table[chr(code)] = table[base]
     table.update(LETTER_SPELLINGS)
     table.update(SIGN_SPELLINGS)
     singles = {k: v for k, v in table.items() if len(v) == 1}

@@ -46,7 +46,8 @@ def to_ascii(c: Column) -> Column:
     """ASCII spelling of a text.
 
     Rows that are ASCII (byte length = character length) leave after each stage: first letters with
-    one-letter spellings, then the usual ligatures, then all other spellings; what remains is dropped.
+    one-letter spellings, then the usual ligatures, then all other spellings. Letters without a spelling stay,
+    other signs are dropped.
     """
     source, target, longer = _spellings()
     ligatures = {k: v for k, v in longer.items() if k in LETTER_SPELLINGS}
@@ -58,7 +59,7 @@ def to_ascii(c: Column) -> Column:
         return text
 
     def rest(text: Column) -> Column:
-        return _unless_ascii(text, lambda t: F.regexp_replace(spell(t, others), r"[^\x00-\x7F]", ""))
+        return _unless_ascii(text, lambda t: F.regexp_replace(spell(t, others), r"[^\x00-\x7F\p{L}]", ""))
 
     return _unless_ascii(c, lambda t: bind(F.translate(t, source, target), lambda u: _unless_ascii(
         u, lambda v: bind(spell(v, ligatures), rest))))

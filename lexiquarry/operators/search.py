@@ -7,10 +7,10 @@ local tables whose exact size the planner knows.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from lexiquarry.functions.fixed import ANALYZER_STOP_WORDS
-from lexiquarry.functions.porter import stem_terms
+from lexiquarry.functions.porter import stem_terms, stem_word
 from lexiquarry.functions.text import analyze_standard
 from lexiquarry.operators.index import MAX_LISTED_TERMS, LiveIndex, Lookup, StoredIndex
 from lexiquarry.session import local_table
@@ -28,6 +28,8 @@ K1 = 1.2
 B = 0.75
 DEFAULT_SIZE = 10
 MAX_EXPANSIONS = 50
+# Digits of a score that count for its rank.
+SCORE_DIGITS = 12
 
 Index = LiveIndex | StoredIndex
 
@@ -80,12 +82,24 @@ def analyze(texts: DataFrame, key: str = "query_id") -> DataFrame:
 
 
 def analyze_queries(spark: SparkSession, queries: Sequence[MatchQuery]) -> list[tuple[str, int, str]]:
-    """Analysed clauses of the batch as (query_id, clause_no, term), on the driver: they are arguments."""
-    texts = query_table(spark, queries)
-    if all(q.analyzer == "standard" for q in queries):
-        texts = texts.drop("analyzer")
-    return [(r.query_id, r.clause_no, r.term)
-            for r in analyze(texts).orderBy("query_id", "clause_no").collect()]
+    """Analysed clauses of the batch as (query_id, clause_no, term), on the driver: they are arguments.
+
+    Words are split in Spark; the few of "english" queries are stemmed where they have arrived.
+    """
+    words = analyze(query_table(spark, queries).drop("analyzer")).orderBy("query_id", "clause_no").collect()
+    english = {q.query_id for q in queries if q.analyzer == "english"}
+    clauses, last, number = [], None, 0
+    for r in words:
+        number, last = (number if r.query_id == last else 0), r.query_id
+        term = r.term
+        if r.query_id in english:
+            bare = re.sub("['’]s$", "", term)
+            if not bare or bare in ANALYZER_STOP_WORDS:
+                continue
+            term = stem_word(bare)
+        clauses.append((r.query_id, number, term))
+        number += 1
+    return clauses
 
 
 def required_matches(minimum: str | int | None, n_clauses: int) -> int:
@@ -174,26 +188,29 @@ def _clause_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
         ("term", pa.string()), ("weight", pa.float64())]))
 
 
-def _by_query(values: dict[str, object], otherwise: object = None) -> Column:
-    """A literal per query_id."""
-    column = F.lit(otherwise)
-    for query_id, value in values.items():
-        column = F.when(F.col("query_id") == query_id, F.lit(value)).otherwise(column)
-    return column
-
+def _with_values(rows: DataFrame, **values: tuple[dict[str, object], pa.DataType]) -> DataFrame:
+    """Join one value per query and name; queries without a value get null.
 
-def _passes_filters(queries: Sequence[MatchQuery]) -> Column | None:
-    conditions = []
-    for q in queries:
-        if q.between:
-            attribute, low, high = q.between
-            inside = F.col(attribute).isNotNull()
-            if low is not None:
-                inside = inside & (F.col(attribute) >= F.lit(low).cast("date"))
-            if high is not None:
-                inside = inside & (F.col(attribute) <= F.lit(high).cast("date"))
-            conditions.append((F.col("query_id") != q.query_id) | inside)
-    return reduce(lambda a, b: a & b, conditions) if conditions else None
+    The values are a table of their own, so the plan does not grow with the batch.
+    """
+    ids = sorted({i for of, _ in values.values() for i in of})
+    table = local_table(
+        rows.sparkSession, [{"query_id": i, **{n: of.get(i) for n, (of, _) in values.items()}} for i in ids],
+        pa.schema([("query_id", pa.string()), *[(n, kind) for n, (_, kind) in values.items()]]))
+    return rows.join(table, "query_id", "left")
+
+
+def _filtered(matched: DataFrame, queries: Sequence[MatchQuery]) -> DataFrame:
+    """Drop matches whose attribute lies outside the closed range of their query."""
+    for attribute in sorted({q.between[0] for q in queries if q.between}):
+        own = {q.query_id: q.between for q in queries if q.between and q.between[0] == attribute}
+        bounds = _with_values(matched, __asked=({i: True for i in own}, pa.bool_()),
+                              __low=({i: b[1] for i, b in own.items()}, pa.string()),
+                              __high=({i: b[2] for i, b in own.items()}, pa.string()))
+        low, high, value = F.col("__low").cast("date"), F.col("__high").cast("date"), F.col(attribute)
+        inside = value.isNotNull() & (low.isNull() | (value >= low)) & (high.isNull() | (value <= high))
+        matched = bounds.where(F.col("__asked").isNull() | inside).drop("__asked", "__low", "__high")
+    return matched
 
 
 def score_terms(postings: DataFrame, clauses: DataFrame, term_stats: DataFrame,
@@ -213,10 +230,7 @@ def score_terms(postings: DataFrame, clauses: DataFrame, term_stats: DataFrame,
     if small_clauses:
         weights = F.broadcast(weights)
     matched = postings.join(weights, ["field", "term"])
-    allowed = _passes_filters(queries)
-    if allowed is not None:
-        matched = matched.where(allowed)
-    return matched.select(
+    return _filtered(matched, queries).select(
         "query_id", "field", "doc_id", "clause_no",
         (F.col("idf") * tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"))).alias("score"))
 
@@ -225,8 +239,9 @@ def combine_fields(scored: DataFrame, queries: Sequence[MatchQuery], n_clauses:
                    one_term_per_clause: bool) -> DataFrame:
     """(query_id, doc_id, score): sum over clauses, boost, minimum match per field, best field wins."""
     fields = sorted({name for q in queries for name in q.fields})
-    need = _by_query({q.query_id: required_matches(q.minimum_should_match, n_clauses.get(q.query_id, 0))
-                      for q in queries}, 1)
+    need = {q.query_id: required_matches(q.minimum_should_match, n_clauses.get(q.query_id, 0)) for q in queries}
+    boosts = {f"boost_{i}": ({q.query_id: float(q.fields[name]) for q in queries if name in q.fields}, pa.float64())
+              for i, name in enumerate(fields)}
     if not one_term_per_clause:
         scored = (scored.groupBy("query_id", "doc_id", "field", "clause_no")
                   .agg(F.max("score").alias("score")))
@@ -235,18 +250,18 @@ def combine_fields(scored: DataFrame, queries: Sequence[MatchQuery], n_clauses:
         here = F.col("field") == name
         measures += [F.sum(F.when(here, F.col("score"))).alias(f"sum_{i}"),
                      F.count_if(here).alias(f"count_{i}")]
-    totals = scored.groupBy("query_id", "doc_id").agg(*measures)
-    bests = []
-    for i, name in enumerate(fields):
-        boost = _by_query({q.query_id: float(q.fields[name]) for q in queries if name in q.fields}, None)
-        bests.append(F.when(F.col(f"count_{i}") >= need, F.col(f"sum_{i}") * boost.cast("double")))
+    totals = _with_values(scored.groupBy("query_id", "doc_id").agg(*measures), need=(need, pa.int32()), **boosts)
+    bests = [F.when(F.col(f"count_{i}") >= F.col("need"), F.col(f"sum_{i}") * F.col(f"boost_{i}"))
+             for i in range(len(fields))]
     best = F.greatest(*bests) if len(bests) > 1 else bests[0]
     return (totals.select("query_id", "doc_id", best.alias("score"))
             .where(F.col("score").isNotNull()))
 
 
 def multi_match(index: Index, queries: Sequence[MatchQuery], spark: SparkSession) -> DataFrame:
-    """(query_id, doc_id, score) of all documents that match, unranked. Scores are rounded to 6 digits."""
+    """(query_id, doc_id, score) of all documents that match, unranked."""
+    if len({q.query_id for q in queries}) < len(queries):
+        raise ValueError("two queries of a batch have the same query_id")
     clauses = analyze_queries(spark, queries)
     rows = _clause_rows(index, queries, clauses, spark)
     terms = sorted({row["term"] for row in rows})
@@ -257,7 +272,8 @@ def multi_match(index: Index, queries: Sequence[MatchQuery], spark: SparkSession
     n_clauses = Counter(query_id for query_id, _, _ in clauses)
     n_terms = Counter((row["query_id"], row["clause_no"], row["field"]) for row in rows)
     combined = combine_fields(scored, queries, n_clauses, max(n_terms.values(), default=1) == 1)
-    return combined.withColumn("score", F.round("score", 6))
+    # Sums differ in their last digits with the order they are made in; ties shall not depend on that.
+    return combined.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
 def top_hits(scored: DataFrame, queries: Sequence[MatchQuery] | int = DEFAULT_SIZE) -> DataFrame:
@@ -273,7 +289,8 @@ def top_hits(scored: DataFrame, queries: Sequence[MatchQuery] | int = DEFAULT_SI
         largest = max(q.size for q in queries)
         ranked = ranked.where(F.col("rank") <= largest)
         if any(q.size != largest for q in queries):
-            ranked = ranked.where(F.col("rank") <= _by_query({q.query_id: q.size for q in queries}, largest))
+            sizes = {q.query_id: q.size for q in queries}
+            ranked = _with_values(ranked, size=(sizes, pa.int32())).where(F.col("rank") <= F.col("size"))
     return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
 
@@ -302,7 +319,7 @@ def match_phrase(index: Index, phrases: dict[str, tuple[str, str]], spark: Spark
     votes = (found.occurrences.join(F.broadcast(clauses), ["field", "term"])
              .groupBy("query_id", "doc_id", "dl", (F.col("pos") - F.col("clause_no")).alias("start"))
              .agg(F.count("*").alias("n")))
-    complete = votes.where(F.col("n") == _by_query(n_clauses, 0))
+    complete = _with_values(votes, wanted=(dict(n_clauses), pa.int64())).where(F.col("n") == F.col("wanted"))
     freq = complete.groupBy("query_id", "doc_id", "dl").agg(F.count("*").alias("freq"))
     return freq.join(F.broadcast(weights), "query_id").select(
         "query_id", "doc_id", "freq",

@@ -244,9 +244,9 @@ def frequent_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("textrank_words", o._chain("""
-    select doc_id, field, word, round(rank, 6) rank from tr_20 where round(rank, 9) >= 0.05""", "tr_20"))
+    select doc_id, field, word, round(rank, 6) rank from tr_20""", "tr_20"))
 def textrank_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = tr.rank_words(_plain(spark, sf_dir)).where(F.round("rank", 9) >= tr.MIN_RANK)
+    ranks = tr.rank_words(_plain(spark, sf_dir))
     return _rounded(ranks, "rank").select("doc_id", "field", "word", "rank")
 
 
@@ -276,7 +276,7 @@ def dictionary_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from matches""", "matches"))
 def keyword_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = _settled(spark, sf_dir)
-    return ma.keyword_matches(plain, pl.keyword_dictionary(plain), tr.MAX_PHRASE_WORDS)
+    return ma.keyword_matches(plain, pl.keyword_dictionary(plain))
 
 
 @register("merge_keywords", o._chain(
@@ -356,16 +356,16 @@ def _live(spark: SparkSession, sf_dir: str) -> ix.LiveIndex:
 
 def _scored(name: str, *queries: se.MatchQuery) -> None:
     """Register all matches of a batch with their scores."""
-    @register(name, o.search_sql(queries, "select query_id, doc_id, score from scored", "scored"))
+    @register(name, o.search_sql(queries, "select query_id, doc_id, round(score, 6) score from scored", "scored"))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return se.multi_match(_live(spark, sf_dir), queries, spark)
+        return _rounded(se.multi_match(_live(spark, sf_dir), queries, spark), "score")
 
 
 def _hits(name: str, *queries: se.MatchQuery) -> None:
     """Register the top hits of a batch."""
-    @register(name, o.search_sql(queries, "select query_id, rank, doc_id, score from hits", "hits"))
+    @register(name, o.search_sql(queries, "select query_id, rank, doc_id, round(score, 6) score from hits", "hits"))
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return se.search(_live(spark, sf_dir), queries, spark)
+        return _rounded(se.search(_live(spark, sf_dir), queries, spark), "score")
 
 
 @register("match_all", o._chain("select doc_id, 1e0 score from corpus order by doc_id limit 10", "corpus"))
@@ -495,7 +495,7 @@ def _shown(hits: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def _hit_rows_sql(queries: tuple, suffix: str = "") -> str:
-    return o.search_sql(queries, f"select query_id, rank, doc_id, score, {_SHOW} from hits join corpus using (doc_id)",
+    return o.search_sql(queries, f"select query_id, rank, doc_id, round(score, 6) score, {_SHOW} from hits join corpus using (doc_id)",
                         "hits", "corpus", suffix=suffix)
 
 
@@ -526,9 +526,9 @@ _RUN_SQL = "split_part(query_id, '@', 1) query_id, split_part(query_id, '@', 2)
 
 
 @register("batch_search", o.search_sql(
-    _BATCH, f"select {_RUN_SQL}, rank, doc_id, score from hits", "hits", suffix="_both"))
+    _BATCH, f"select {_RUN_SQL}, rank, doc_id, round(score, 6) score from hits", "hits", suffix="_both"))
 def batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pl.batch_search(load_corpus(spark, sf_dir), QUESTIONS, spark)
+    return _rounded(pl.batch_search(load_corpus(spark, sf_dir), QUESTIONS, spark), "score")
 
 
 # ---------------------------------------------------------------- evaluation
@@ -583,8 +583,10 @@ def compare_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("quality_table", o.search_sql(_BATCH, f"""
     select query_id, {", ".join(
-        f"round(max(case when system = '{s}' then {m} end), 6) {m}_{s}" for s in pl.SYSTEMS for m in "pr")}
-    from ({_CURVES_SQL}) where rank = {K} group by query_id""", "hits", suffix="_both"))
+        f"round(coalesce(sum(rel) filter (system = '{s}' and rank <= {K}), 0) / {K}, 6) p_{s}, "
+        f"round(coalesce(sum(rel) filter (system = '{s}' and rank <= {K}), 0) "
+        f"/ nullif(sum(rel) filter (system = '{s}'), 0), 6) r_{s}" for s in pl.SYSTEMS)}
+    from {_JUDGED_SQL} group by query_id""", "hits", suffix="_both"))
 def quality_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = ev.quality_table(_judged(spark, sf_dir), K, pl.SYSTEMS)
     return _rounded(table, *[f"{m}_{s}" for s in pl.SYSTEMS for m in "pr"])

@@ -35,7 +35,7 @@ def _ascii_sql(column: str) -> str:
     for char, spelling in longer.items():
         spelled = f"replace({spelled}, {_quote(char)}, {_quote(spelling)})"
     return (f"case when strlen({column}) = length({column}) then {column} "
-            f"else regexp_replace({spelled}, '[^\\x00-\\x7F]', '', 'g') end")
+            f"else regexp_replace({spelled}, '[^\\x00-\\x7F\\p{{L}}]', '', 'g') end")
 
 
 def _groups(replacement: str) -> str:
@@ -193,9 +193,7 @@ _step("tr_phrases", ["tr_runs"], """
   select doc_id, field, phrase, max(n_words) n_words, max(score) score from (
     select doc_id, field, string_agg(word, ' ' order by pos) phrase, count(*) n_words,
            sqrt(sum(rank) / count(*)) score
-    from (select *, (row_number() over (partition by doc_id, field, sent_no, run order by pos) - 1) // 3 piece
-          from tr_runs)
-    group by doc_id, field, sent_no, run, piece)
+    from tr_runs group by doc_id, field, sent_no, run)
   where round(score, 9) >= 0.05 group by doc_id, field, phrase""")
 _step("trdict", ["tr_phrases"], """
   select phrase, replace(phrase, ' ', '_') clean, any_value(n_words) n_words, max(score) score
@@ -338,7 +336,7 @@ def _search_steps(queries: Sequence[MatchQuery], prefix: str = "", suffix: str =
                join fs{suffix} using (field)
           group by all"""),
         f"{p}scored": ([f"{p}clause_score", f"{p}qf", "corpus"], f"""
-          select query_id, doc_id, round(max(score), 6) score from (
+          select query_id, doc_id, round(max(score), 12) score from (
             select query_id, field, doc_id, sum(score) * any_value(boost) score
             from {p}clause_score join {p}qf using (query_id, field)
             group by query_id, field, doc_id having count(*) >= any_value(need))

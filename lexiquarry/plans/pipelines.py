@@ -33,7 +33,7 @@ def keyword_dictionary(sentences: DataFrame) -> DataFrame:
 
 def match_both(sentences: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Matches of both sources per document, in sentence order."""
-    return ma.matched_sentences(sentences, dictionary, max(tr.MAX_PHRASE_WORDS, 2))
+    return ma.matched_sentences(sentences, dictionary)
 
 
 def select_keywords(sentences: DataFrame) -> DataFrame:
@@ -94,8 +94,10 @@ def batch_search(articles: DataFrame, queries: Sequence[se.MatchQuery], spark: S
     """(query_id, system, rank, doc_id, score): all queries on both systems, scored in one job."""
     batch = [for_system(q, s) for q in queries for s in SYSTEMS]
     hits = se.search(live(shared_words(articles)), batch, spark)
-    name = F.split("query_id", "@")
-    return hits.select(name[0].alias("query_id"), name[1].alias("system"), "rank", "doc_id", "score")
+    # System names have no "@", query ids may.
+    system = F.substring_index("query_id", "@", -1)
+    query_id = F.expr("substring(query_id, 1, length(query_id) - length(substring_index(query_id, '@', -1)) - 1)")
+    return hits.select(query_id.alias("query_id"), system.alias("system"), "rank", "doc_id", "score")
 
 
 def judge(hits: DataFrame, labels: DataFrame) -> DataFrame:

@@ -10,9 +10,9 @@ from lexiquarry.functions.text import valid_date
 
 # Columns of an article table in declared order, and which of them are special.
 ARTICLE_FIELDS = (
-    "cord_uid sha source_x title pr_title doi pmcid license abstract pr_abstract publish_time "
-    "authors journal who_covidence_id arxiv_id pdf_json_files pmc_json_files url s2_id"
-).split()
+    "cord_uid", "sha", "source_x", "title", "pr_title", "doi", "pmcid", "license", "abstract", "pr_abstract",
+    "publish_time", "authors", "journal", "who_covidence_id", "arxiv_id", "pdf_json_files", "pmc_json_files",
+    "url", "s2_id")
 PROCESSED_FIELDS = {"pr_title": "title", "pr_abstract": "abstract"}
 NOT_SEARCHABLE = {"cord_uid"}
 RANKED_FIELDS = {"title", "pr_title", "abstract", "pr_abstract"}
@@ -38,14 +38,14 @@ def searchable_fields(schema: T.StructType) -> list[str]:
 def read_articles_csv(spark: SparkSession, path: str) -> DataFrame:
     """All-string article table from CSV with a header and quoted cells that may span lines.
 
-    A quoted multi-line CSV file cannot be split, so give a folder of files rather than one big file;
-    for repeated work convert it to parquet once.
+    Columns are taken by their header name: others are left out, missing ones are null, and the order does
+    not matter. All files of a folder have the same header. A quoted multi-line CSV file cannot be split, so
+    give a folder of files rather than one big file; for repeated work convert it to parquet once.
     """
+    rows = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
     names = [n for n in ARTICLE_FIELDS if n not in PROCESSED_FIELDS]
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    # enforceSchema=False checks the header names instead of trusting the column order.
-    return spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"',
-                          enforceSchema=False)
+    return rows.select(*[
+        (F.col(f"`{n}`") if n in rows.columns else F.lit(None).cast("string")).alias(n) for n in names])
 
 
 def with_processed_copies(articles: DataFrame) -> DataFrame:

@@ -30,16 +30,7 @@ def documents_as_articles(documents: DataFrame) -> DataFrame:
     )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Spread rows over all cores when the input has fewer splits than the cluster has cores.
-
-    Concerns a few coarse files only (one row group, multi-line CSV); big inputs pass unchanged.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def load_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article view of `<sf_dir>/documents.parquet` with checked `publish_time`."""
-    documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return documents_as_articles(documents).withColumn("publish_time", valid_date(F.col("publish_raw")))

@@ -56,21 +56,19 @@ def leftmost_longest(words, phrases, longest):
     return found
 
 
-@pytest.mark.parametrize(("size", "small"), [(12, 200_000), (300, 200_000), (300, 0)])
-def test_matches_against_brute_force(spark, sentence_table, monkeypatch, size, small):
-    """The longer sentences take the per-chain path; the last case treats the dictionary as big."""
-    monkeypatch.setattr(ma, "SMALL_DICTIONARY", small)
+@pytest.mark.parametrize("size", [12, 300])
+def test_matches_against_brute_force(spark, sentence_table, size):
     documents = random_documents(7, size=size)
     rng = random.Random(3)
     words = [w for ss in documents.values() for s in ss for w in s.split()]
-    phrases = {" ".join(words[i:i + k]) for k in (1, 2, 3) for i in rng.sample(range(len(words) - 3), 25)}
+    phrases = {" ".join(words[i:i + k]) for k in (1, 2, 3, 5) for i in rng.sample(range(len(words) - 5), 25)}
     rows = [(s, p, p.replace(" ", "_")) for s in ma.SOURCES for p in phrases if s == "textrank" or len(p) < 8]
     dictionary = spark.createDataFrame(rows, "source string, phrase string, clean string")
     got = sorted((r.doc_id, r.sent_no, r.source, r.start, r.n_words) for r in
-                 ma.keyword_matches(sentence_table(documents), dictionary, 3).collect())
+                 ma.keyword_matches(sentence_table(documents), dictionary).collect())
     want = sorted(
         (d, n, s, i, k) for d, ss in documents.items() for n, sentence in enumerate(ss) for s in ma.SOURCES
-        for i, k in leftmost_longest(sentence.split(), {r[1] for r in rows if r[0] == s}, 3))
+        for i, k in leftmost_longest(sentence.split(), {r[1] for r in rows if r[0] == s}, 5))
     assert got == want and got
 
 
@@ -138,9 +136,8 @@ def test_textrank_phrases_against_brute_force(sentence_table):
                 if word is not None and round(rank[word] * len(rank), 6) >= 1:
                     run.append(word)
                     continue
-                for i in range(0, len(run), 3):
-                    piece = run[i:i + 3]
-                    want[doc_id, " ".join(piece)] = math.sqrt(sum(rank[w] for w in piece) / len(piece))
+                if run:
+                    want[doc_id, " ".join(run)] = math.sqrt(sum(rank[w] for w in run) / len(run))
                 run = []
     assert got == pytest.approx(want) and got
 
@@ -187,3 +184,17 @@ def test_dictionary_sizes(spark, sentence_table):
     a = spark.createDataFrame([("x",), ("y",), ("x",)], "phrase string")
     got = {r.source: r.n_phrases for r in tr.dictionary_sizes({"a": a, "b": a.limit(1)}).collect()}
     assert got == {"a": 2, "b": 1}
+
+
+def test_null_documents_stay_null(spark, sentence_table):
+    dictionary = spark.createDataFrame([("textrank", "acute respiratory distress syndrome", "ards")],
+                                       "source string, phrase string, clean string")
+    table = sentence_table({1: ["acute respiratory distress syndrome now"], 2: [], 3: None, 4: ["nothing here"]})
+    merged = ma.merge_keywords(ma.matched_sentences(table, dictionary))
+    assert {r.doc_id: r.sentences for r in merged.collect()} == {1: ["ards"], 2: [], 3: None, 4: [""]}
+    weights = {(r.doc_id, r.term) for r in ti.tfidf(merged).collect()}
+    assert weights == {(1, "ards")}
+    lemmas = spark.createDataFrame([("nothing", "thing")], "word string, lemma string")
+    done = lm.lemmatize_sentences(table, lemmas)
+    assert {r.doc_id: r.sentences for r in done.collect()} == {
+        1: ["acute respiratory distress syndrome now"], 2: [], 3: None, 4: ["thing here"]}

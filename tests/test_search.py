@@ -163,3 +163,26 @@ def test_stemmed_index(spark):
     assert [r.doc_id for r in plain.collect()] == [1]
     both = se.multi_match(ix.LiveIndex(stemmed, ("publish_time",)), [query], spark)
     assert sorted(r.doc_id for r in both.collect()) == [1, 2]
+
+
+def test_large_batches_and_odd_ids(spark):
+    rows, words = make_words(spark)
+    live = ix.LiveIndex(words, ("publish_time",))
+    batch = [se.MatchQuery(f"q@{i}", QUERIES[i % 4].text, FIELDS, minimum_should_match=QUERIES[i % 4].minimum_should_match,
+                           between=QUERIES[i % 4].between, size=3 + i % 2) for i in range(2000)]
+    hits = {}
+    for r in se.search(live, batch, spark).collect():
+        hits.setdefault(r.query_id, []).append((r.doc_id, round(r.score, 5)))
+    for i in (0, 1, 2, 3, 1999):
+        best = sorted(brute_force(rows, QUERIES[i % 4]).items(), key=lambda p: (-round(p[1], 9), p[0]))[:3 + i % 2]
+        assert [s for _, s in hits[f"q@{i}"]] == pytest.approx([s for _, s in best], abs=2e-5)
+    with pytest.raises(ValueError):
+        se.multi_match(live, [QUERIES[0], QUERIES[0]], spark)
+
+
+def test_english_queries_need_no_python_worker(spark):
+    _, words = make_words(spark)
+    query = se.MatchQuery("e", "The fevers and coughs of dogs", FIELDS, analyzer="english")
+    assert se.analyze_queries(spark, [query]) == [("e", 0, "fever"), ("e", 1, "cough"), ("e", 2, "dog")]
+    plan = se.multi_match(ix.LiveIndex(words, ()), [query], spark)._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "Arrow" not in plan

@@ -4,7 +4,6 @@ import json
 from pyspark.sql import functions as F
 
 from lexiquarry.sources import articles as ar
-from lexiquarry.sources.corpus import spread
 
 HEADER = ("cord_uid,sha,source_x,title,doi,pmcid,license,abstract,publish_time,authors,journal,"
           "who_covidence_id,arxiv_id,pdf_json_files,pmc_json_files,url,s2_id")
@@ -45,7 +44,7 @@ def test_tail_and_head(spark, tmp_path):
 def test_typed_table_keeps_search_traits(spark, tmp_path):
     write_csv(tmp_path / "a.csv")
     typed = ar.to_typed(ar.with_processed_copies(ar.read_articles_csv(spark, str(tmp_path / "a.csv"))))
-    assert typed.columns == ar.ARTICLE_FIELDS
+    assert typed.columns == list(ar.ARTICLE_FIELDS)
     assert typed.schema["publish_time"].dataType.simpleString() == "date"
     assert "cord_uid" not in ar.searchable_fields(typed.schema)
     assert typed.schema["pr_title"].metadata["similarity"] == "BM25"
@@ -70,7 +69,7 @@ def test_write_comparison(spark, tmp_path):
         assert {r.query_id for r in read.collect()} == {"q1", "q2"}
 
 
-def test_spread_only_touches_coarse_input(spark):
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 4
-    many = spark.range(10, numPartitions=7).select(F.col("id"))
-    assert spread(many).rdd.getNumPartitions() == 7
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("pubmed_id,title,cord_uid,mag_id\n7,T,u1,9\n")
+    row = ar.read_articles_csv(spark, str(tmp_path / "a.csv")).first()
+    assert (row.cord_uid, row.title, row.abstract) == ("u1", "T", None) and "pubmed_id" not in row

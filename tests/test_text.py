@@ -22,6 +22,8 @@ def one(spark, value, expression):
     ("One…two—three “four”", ["one two three four"]),
     ("Dots... next? Yes!! 12 34.", ["dots", "next", "yes", ""]),
     ("tab\tand\nbreak", ["tab and break"]),
+    ("signi\ufb01cant di\ufb00erence \uff21\uff22\uff23", ["significant difference abc"]),
+    ("\u0451\u043b\u043a\u0430 \u03ac\u03bb\u03c6\u03b1 \u4e2d\u6587", ["elka alpha \u4e2d\u6587"]),
     ("end. ", ["end"]),
     ("   ", []),
     (None, None),
