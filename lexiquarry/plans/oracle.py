@@ -209,13 +209,21 @@ _step("spans", ["kwtok"], """
   from (select *, lead(word, 1) over w b, lead(word, 2) over w c from kwtok
         window w as (partition by doc_id, field, sent_no order by pos)), (select unnest([1, 2, 3]) k)
   where phrase is not null""")
-_step("matches", ["spans", "dict"], """
+_step("long_spans", ["spans", "dict", "kwtok"], """
+  select doc_id, field, sent_no, start, n n_words, whole phrase
+  from (select distinct phrase whole, string_split(phrase, ' ') parts, len(string_split(phrase, ' ')) n from dict)
+       join spans on n > 3 and n_words = 3 and phrase = array_to_string(parts[1:3], ' ')
+       join (select doc_id, field, sent_no, list(word order by pos) ws from kwtok group by all)
+            using (doc_id, field, sent_no)
+  where ws[start + 1:start + n] = parts""")
+_step("matches", ["spans", "long_spans", "dict"], """
   select doc_id, field, sent_no, source, m.s start, m.n n_words, m.c clean from (
     select doc_id, field, sent_no, source, unnest(list_reduce(list_transform(ms, lambda x: [x]),
       lambda a, b: case when a[-1].s + a[-1].n <= b[1].s then list_concat(a, b) else a end)) m
     from (select doc_id, field, sent_no, source,
                  list({'s': start, 'n': n_words, 'c': clean} order by start, n_words desc) ms
-          from spans join dict using (phrase) group by all))""")
+          from (select doc_id, field, sent_no, start, n_words, phrase from spans
+                union all select * from long_spans) join dict using (phrase) group by all))""")
 _step("matched", ["kw", "matches"], """
   select doc_id, field, sent_no, coalesce(t, []) t, coalesce(f, []) f from kw left join (
     select doc_id, field, sent_no, list(clean order by start) filter (source = 'textrank') t,

@@ -30,7 +30,15 @@ def documents_as_articles(documents: DataFrame) -> DataFrame:
     )
 
 
+# Session setting: deal the documents out to so many partitions before anything else. Unset by default; of use
+# where the files have fewer row groups than the cluster has cores.
+PARTITIONS = "lexiquarry.corpus.partitions"
+
+
 def load_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article view of `<sf_dir>/documents.parquet` with checked `publish_time`."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    partitions = spark.conf.get(PARTITIONS, None)
+    if partitions:
+        documents = documents.repartition(int(partitions))
     return documents_as_articles(documents).withColumn("publish_time", valid_date(F.col("publish_raw")))
