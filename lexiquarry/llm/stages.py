@@ -49,17 +49,11 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = nj.similarity_classes(docs)
     spare = classes.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    kept = docs.join(spare, "doc_id", "left_anti").select(*docs.columns)
-    # Rows repeated whole have the same id and class, so they are told apart last.
-    return kept.where("doc_id is null").unionByName(_first_rows(kept.where("doc_id is not null")))
-
-
-def _first_rows(rows: DataFrame) -> DataFrame:
-    """Rows without the repetitions of an id; only ids that occur several times are looked at."""
-    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    single = rows.join(repeated, "doc_id", "left_anti").select(*rows.columns)
-    several = rows.join(repeated, "doc_id", "left_semi").select(*rows.columns)
-    return single.unionByName(several.dropDuplicates(["doc_id"]))
+    kept = docs.join(spare, "doc_id", "left_anti")
+    # Rows repeated whole have the same id and class, so they are told apart last; where the join has dealt the
+    # rows out by id, this needs no further shuffle. Rows without id are one for each text.
+    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    return kept.withColumn("__own", own).dropDuplicates(["doc_id", "__own"]).select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
