@@ -151,6 +151,7 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
     nodes = (rows.distinct().withColumn("place", place).where(F.col("place") <= k + 1)
              .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     nodes = settle(nodes.withColumn("dim", F.size("v")), "nodes")
+    # One row for each length of vectors, so it may be broadcast.
     sizes = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
     dealt = nodes.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("v"), "shards").cast("int"))
 
