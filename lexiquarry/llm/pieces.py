@@ -45,7 +45,7 @@ def gather(values: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np
 class Memo(dict):
     """Results by piece, emptied when it holds `limit` entries."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 800_000) -> None:
         super().__init__()
         self.limit = limit
 

@@ -164,8 +164,8 @@ class Vocabulary:
             end = begin
         return ids[::-1]
 
-    def solve(self, texts: list[str]) -> list[tuple[float, np.ndarray]]:
-        """(best score, ids) of each text by itself; texts of one length are solved in step."""
+    def solve(self, texts: list[str]) -> list[tuple[float, bytes]]:
+        """(best score, ids as 32-bit integers) of each text by itself; texts of one length are solved in step."""
         out: list = [None] * len(texts)
         by_size: dict[int, list[int]] = {}
         for i, t in enumerate(texts):
@@ -180,23 +180,25 @@ class Vocabulary:
                 best[:, 0] = 0
                 came, piece = np.zeros(best.shape, np.int32), np.full(best.shape, -1, np.int32)
                 self.relax(np.frombuffer(flat, np.uint32).reshape(len(part), size), best, came, piece)
-                for i, row, ids in zip(part, best, self._trace_all(own, came, piece, size), strict=True):
-                    out[i] = row[size], ids
+                scores = best[:, size].tolist()
+                for i, score, ids in zip(part, scores, self._trace_all(own, came, piece, size), strict=True):
+                    out[i] = score, ids
         return out
 
-    def _trace_all(self, texts: list[str], came: np.ndarray, piece: np.ndarray, size: int) -> list[np.ndarray]:
+    def _trace_all(self, texts: list[str], came: np.ndarray, piece: np.ndarray, size: int) -> list[bytes]:
         """`trace` for all rows in step; rows with unknown characters one by one."""
         rows, at, steps = np.arange(len(texts)), np.full(len(texts), size), []
         while at.any():
             steps.append(np.where(at > 0, piece[rows, at], -2))
             at = np.where(at > 0, came[rows, at], 0)
         if not steps:
-            return [np.zeros(0, np.int32)] * len(texts)
+            return [b""] * len(texts)
         ids = np.stack(steps[::-1], axis=1).astype(np.int32)
         used = ids != -2
-        parts = np.split(ids[used], np.cumsum(used.sum(axis=1))[:-1])
+        raw, cuts = ids[used].tobytes(), [0, *(4 * np.cumsum(used.sum(axis=1))).tolist()]
+        parts = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         for row in np.flatnonzero((ids == -1).any(axis=1)):
-            parts[row] = np.array(self.trace(texts[row], came[row], piece[row], size), np.int32)
+            parts[row] = np.array(self.trace(texts[row], came[row], piece[row], size), np.int32).tobytes()
         return parts
 
 
@@ -207,7 +209,7 @@ class Encoder:
 
     def _solve(self, pieces: list[bytes]) -> Iterator[bytes]:
         texts = [p.decode("utf-8", "replace").replace(" ", MARK) for p in pieces]
-        return (ids.tobytes() for _, ids in self.vocabulary.solve(texts))
+        return (ids for _, ids in self.vocabulary.solve(texts))
 
     def borders(self, data: np.ndarray) -> np.ndarray:
         """Places in a byte string where every segmentation has a border."""
@@ -300,7 +302,7 @@ class Encoder:
             if head:
                 _, came, piece = self._spread(head, min(v.longest, len(head) + 1), len(head))
                 parts.append(v.trace(head, came[enter], piece[enter], len(head), enter))
-            parts += [ids for _, ids in v.solve(inner)]
+            parts.append(np.frombuffer(b"".join(ids for _, ids in v.solve(inner)), np.int32))
             enter = 0
         text = tail + ahead
         _, came, piece = self._spread(text, enter + 1, len(tail))
