@@ -21,6 +21,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -280,7 +281,8 @@ class Encoder:
             entries = min(v.longest, len(head) + 1)
             column = np.full((v.longest, 1), -np.inf)
             column[:entries, 0] = self._spread(head, entries, len(head))[0][:, len(head)]
-            total = sum(score for score, _ in v.solve(inner))
+            counts = Counter(inner)
+            total = sum(n * s[0] for n, s in zip(counts.values(), v.solve(list(counts)), strict=True))
             best = self._spread(tail + ahead, 1, len(tail))[0]
             row = np.full((1, v.longest), -np.inf)
             reach = best[0, len(tail):len(tail) + v.longest]
@@ -302,7 +304,9 @@ class Encoder:
             if head:
                 _, came, piece = self._spread(head, min(v.longest, len(head) + 1), len(head))
                 parts.append(v.trace(head, came[enter], piece[enter], len(head), enter))
-            parts.append(np.frombuffer(b"".join(ids for _, ids in v.solve(inner)), np.int32))
+            distinct = list(dict.fromkeys(inner))
+            ids_of = {p: ids for p, (_, ids) in zip(distinct, v.solve(distinct), strict=True)}
+            parts.append(np.frombuffer(b"".join(ids_of[p] for p in inner), np.int32))
             enter = 0
         text = tail + ahead
         _, came, piece = self._spread(text, enter + 1, len(tail))
