@@ -152,6 +152,17 @@ def test_passages(spark, rng):
     assert (found[11, 10].start_word, found[11, 10].end_word, found[11, 10].source_start) == (0, 60, 9)
 
 
+def passages(spark, texts):
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    return sc.repeated_passages(docs).collect()
+
+
+def test_passages_pieced_together_from_poor_homes_on_both_levels(spark, rng):
+    a, b, c = (invented(rng, 20) for _ in range(3))
+    rows = passages(spark, {1: a + b, 2: b + c, 3: a + b + c, 4: a + b + c})
+    assert {(r.doc_id, r.source_id, r.start_word, r.end_word) for r in rows} == {(4, 3, 0, 60)}
+
+
 def test_passages_of_odd_tables(spark, messy, no_documents):
     twice = messy.unionByName(messy.selectExpr("*").withColumn("doc_id", messy["doc_id"] + 100))
     rows = sc.repeated_passages(twice).collect()
