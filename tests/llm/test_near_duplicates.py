@@ -163,6 +163,30 @@ def test_passages_pieced_together_from_poor_homes_on_both_levels(spark, rng):
     assert {(r.doc_id, r.source_id, r.start_word, r.end_word) for r in rows} == {(4, 3, 0, 60)}
 
 
+def test_passages_on_both_sides_of_a_gap_are_both_found(spark, rng):
+    texts = {}
+    for n, (one, other) in enumerate(((40, 40), (50, 30), (60, 0))):
+        p, q = invented(rng, 60), invented(rng, 60)
+        texts[10 * n + 1] = p + invented(rng, one) + q
+        texts[10 * n + 2] = p + invented(rng, other) + q
+    rows = passages(spark, texts)
+    # By brute force: the longest equal runs.
+    for n, other in enumerate((40, 30, 0)):
+        found = {(r.start_word, r.end_word) for r in rows if r.doc_id == 10 * n + 2}
+        assert all(any(a <= at and at + 60 <= b for a, b in found) for at in (0, 60 + other))
+    assert all(r.matched >= 0.8 * max(r.end_word - r.start_word, r.source_end - r.source_start) for r in rows)
+
+
+def test_the_longest_part_of_a_chain_is_kept_across_its_worst_gap():
+    import numpy as np
+    a = np.arange(200)
+    b = np.where((a >= 30) & (a < 40), -1, a)
+    b[70:] = np.where(a[70:] % 9 < 5, a[70:], -1)
+    parts = sc.align(np.array([[0, 200, 0, 200, 0]]), a, b, 50, 0.8)
+    assert parts and parts[0][0] == 0 and parts[0][1] >= 70
+    assert all(n >= 0.8 * (p1 - p0) for p0, p1, _, _, n in parts)
+
+
 def test_passages_of_odd_tables(spark, messy, no_documents):
     twice = messy.unionByName(messy.selectExpr("*").withColumn("doc_id", messy["doc_id"] + 100))
     rows = sc.repeated_passages(twice).collect()
