@@ -187,6 +187,12 @@ def test_the_longest_part_of_a_chain_is_kept_across_its_worst_gap():
     assert all(n >= 0.8 * (p1 - p0) for p0, p1, _, _, n in parts)
 
 
+def test_passages_whose_halves_lie_apart_in_one_earlier_document(spark, rng):
+    a, b, far = invented(rng, 30), invented(rng, 30), invented(rng, 3000)
+    rows = passages(spark, {1: far[:100] + b + far[100:] + a + far[:50], 5: invented(rng, 9) + a + b, 6: a + b + invented(rng, 9)})
+    assert {(r.doc_id, r.source_id, r.start_word, r.end_word) for r in rows} == {(6, 5, 0, 60)}
+
+
 def test_passages_of_odd_tables(spark, messy, no_documents):
     twice = messy.unionByName(messy.selectExpr("*").withColumn("doc_id", messy["doc_id"] + 100))
     rows = sc.repeated_passages(twice).collect()
