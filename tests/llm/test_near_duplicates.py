@@ -207,6 +207,13 @@ def test_edited_passages_with_few_seeds(spark, rng):
     assert len(found) >= 38 and all(i % 2 for i in found)
 
 
+def test_passages_that_a_document_repeats_are_found_each_time(spark, rng):
+    p = invented(rng, 60)
+    rows = passages(spark, {1: invented(rng, 10) + p, 9: p + invented(rng, 40) + p + invented(rng, 70) + p})
+    assert {(r.doc_id, r.source_id, r.start_word, r.end_word, r.source_start) for r in rows} == {
+        (9, 1, at, at + 60, 10) for at in (0, 100, 230)}
+
+
 def test_passages_of_odd_tables(spark, messy, no_documents):
     twice = messy.unionByName(messy.selectExpr("*").withColumn("doc_id", messy["doc_id"] + 100))
     rows = sc.repeated_passages(twice).collect()
