@@ -50,10 +50,9 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     classes = nj.similarity_classes(docs)
     spare = classes.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
     kept = docs.join(spare, "doc_id", "left_anti")
-    # Rows repeated whole have the same id and class, so they are told apart last; where the join has dealt the
-    # rows out by id, this needs no further shuffle. Rows without id are one for each text.
-    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    return kept.withColumn("__own", own).dropDuplicates(["doc_id", "__own"]).select(*docs.columns)
+    # Copies of one row have the same id and class, so they are told apart last, by id and text; where the join has
+    # dealt the rows out by id, this needs no further shuffle. Different texts under one id all stay.
+    return kept.withColumn("__own", F.xxhash64("text")).dropDuplicates(["doc_id", "__own"]).select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,12 @@ def test_odd_tables(spark, messy, no_documents):
     assert stages.keep_civil(spark, messy, SMALL).columns == messy.columns
 
 
+def test_different_texts_under_one_id_all_stay(spark):
+    docs = spark.createDataFrame([(1, "one text"), (1, "another text"), (1, "one text"), (2, "a third")], "doc_id long, text string")
+    left = stages.keep_one_of_each_class(spark, docs, SMALL).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(1, "another text"), (1, "one text"), (2, "a third")]
+
+
 def test_cutting_words(spark):
     import pyarrow as pa
     spans = pa.array([[{"start_word": 1, "end_word": 3}, {"start_word": 2, "end_word": 4}]])[0]
