@@ -16,6 +16,7 @@ from lexiquarry.llm import sentencepiece_scan as sp
 from lexiquarry.llm import substring_chain as sc
 from lexiquarry.llm import toxicity as tx
 from lexiquarry.llm.sampling import held_out
+from lexiquarry.llm.storage import settle
 
 TOXIC_CATEGORIES = ("junk", "toxic", "abusive_junk")
 
@@ -55,10 +56,26 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.withColumn("__own", F.xxhash64("text")).dropDuplicates(["doc_id", "__own"]).select(*docs.columns)
 
 
+def with_text_keys(docs: DataFrame) -> DataFrame:
+    """The rows with `__row`: one number for each pair of id and text, null for a null id.
+
+    Where an id has several texts, the one with the smallest hash keeps the id as its number. The others get
+    numbers of 2**62 and above, made of their hashes, so they count as later documents.
+    """
+    mark = F.xxhash64("text")
+    several = settle(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("__least"), F.max(mark).alias("__most"))
+                     .where("__least < __most").select("doc_id", "__least"), "several")
+    other = F.shiftrightunsigned(F.xxhash64("doc_id", mark), 2).bitwiseOR(F.lit(1 << 62))
+    return docs.join(several, "doc_id", "left").select(
+        *docs.columns, F.when(mark != F.col("__least"), other).otherwise(F.col("doc_id").cast("long")).alias("__row"))
+
+
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = sc.repeated_passages(docs)
-    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("__spans"))
-    joined = docs.join(spans, "doc_id", "left").select(*docs.columns, "__spans")
+    """Passages are found and cut in each text by itself, also where several texts share an id."""
+    keyed = with_text_keys(docs)
+    found = sc.repeated_passages(keyed, key="__row")
+    spans = found.groupBy("__row").agg(F.collect_set(F.struct("start_word", "end_word")).alias("__spans"))
+    joined = keyed.join(spans, "__row", "left").select(*docs.columns, "__spans")
     names = docs.columns
     place, count = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 

@@ -193,7 +193,7 @@ def test_passages_whose_halves_lie_apart_in_one_earlier_document(spark, rng):
     assert {(r.doc_id, r.source_id, r.start_word, r.end_word) for r in rows} == {(6, 5, 0, 60)}
 
 
-def edited(rng, words, every):
+def changed_at_every(rng, words, every):
     return [f"new{rng.random()}" if i % every == every - 1 else w for i, w in enumerate(words)]
 
 
@@ -202,7 +202,7 @@ def test_edited_passages_with_few_seeds(spark, rng):
     for i in range(40):
         words = invented(rng, 55)
         texts[2 * i] = invented(rng, 100) + words + invented(rng, 100)
-        texts[2 * i + 1] = invented(rng, 100) + edited(rng, words, 8) + invented(rng, 100)
+        texts[2 * i + 1] = invented(rng, 100) + changed_at_every(rng, words, 8) + invented(rng, 100)
     found = {r.doc_id for r in passages(spark, texts) if r.source_id == r.doc_id - 1}
     assert len(found) >= 38 and all(i % 2 for i in found)
 

@@ -1,5 +1,7 @@
 """The pipeline's stages on the smallest tables, against what each stage's operator says about its own input."""
 
+from collections import Counter
+
 import corpus_pipeline
 from lexiquarry.llm import decontaminate as dc
 from lexiquarry.llm import ngram_join as nj
@@ -7,6 +9,8 @@ from lexiquarry.llm import substring_chain as sc
 from lexiquarry.llm import stages
 from lexiquarry.llm.storage import settle
 
+from .conftest import invented
+
 SMALL = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -45,6 +49,14 @@ def test_different_texts_under_one_id_all_stay(spark):
     assert sorted((r.doc_id, r.text) for r in left) == [(1, "another text"), (1, "one text"), (2, "a third")]
 
 
+def test_texts_under_one_id_are_cut_one_by_one(spark, rng):
+    shared, own, other = invented(rng, 80), invented(rng, 20), invented(rng, 100)
+    rows = [(1, " ".join(shared)), (2, " ".join(shared + own)), (2, " ".join(other)), (2, None), (None, " ".join(shared))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = stages.cut_repeated_passages(spark, docs, SMALL).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter([rows[0], (2, " ".join(own)), *rows[2:]])
+
+
 def test_cutting_words(spark):
     import pyarrow as pa
     spans = pa.array([[{"start_word": 1, "end_word": 3}, {"start_word": 2, "end_word": 4}]])[0]
