@@ -11,13 +11,16 @@ import corpus_pipeline
 from lexiquarry.llm import ann_graph as ag
 from lexiquarry.llm import chat_format as cf
 from lexiquarry.llm import decontaminate as dc
+from lexiquarry.llm import importance as im
 from lexiquarry.llm import language as lg
 from lexiquarry.llm import ngram_join as nj
 from lexiquarry.llm import quality as ql
 from lexiquarry.llm import sentencepiece_scan as sp
+from lexiquarry.llm import simhash_rings as sr
 from lexiquarry.llm import substring_chain as sc
 from lexiquarry.llm import token_files as tf
 from lexiquarry.llm import toxicity as tx
+from lexiquarry.llm import whitening as wh
 from lexiquarry.llm.sampling import held_out
 from lexiquarry.llm.stages import TOXIC_CATEGORIES, fit_chain, model_file
 from lexiquarry.llm.storage import stage_path
@@ -163,6 +166,58 @@ def op7_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.nearest(ag.build_index(rows), rows.where(F.col("vec_id") % 20 == 0))
 
 
+@query
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return im.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _importance_oracle() -> str:
+    """CRC-32 is worked out for each distinct word, byte by byte with a table of 256 remainders."""
+    words = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    shift = "list_reduce(range(1, 9), lambda c, i: case when (c & 1) = 1 then xor(c >> 1, 3988292384) else c >> 1 end, {})"
+    return f"""
+    with d as materialized (select doc_id, coalesce({words.format("text")}, []) as ws, row_number() over () as r from documents),
+    b as materialized (select unnest({words.format("text")}) as w from benchmark),
+    dw as materialized (select r, w, count(*) as n from (select r, unnest(ws) as w from d) group by all),
+    crcs as materialized (select list({shift.format("v")} order by v) as t from (select unnest(range(256)) as v)),
+    word as (select distinct w from (select w from dw union all select w from b)),
+    spelled as (select w, list_transform(range(strlen(w)), lambda i: ('0x' || hex(w)[2 * i + 1:2 * i + 2])::bigint) as bytes from word),
+    hashed as materialized (
+      select w, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 as bucket
+      from spelled, crcs),
+    source as (select bucket, sum(n)::bigint as n from dw join hashed using (w) group by bucket),
+    target as (select bucket, count(*) as n from b join hashed using (w) group by bucket),
+    totals as (select (select coalesce(sum(n), 0) from source)::double as s, (select coalesce(sum(n), 0) from target)::double as t),
+    gains as (
+      select bucket, floor(1000 * ln((coalesce(target.n, 0) + 1)::double * (totals.s + 10000)
+                                     / ((source.n + 1)::double * (totals.t + 10000))))::bigint as gain
+      from source left join target using (bucket), totals),
+    weights as (select r, sum(n * gain)::bigint as weight from dw join hashed using (w) join gains using (bucket) group by r),
+    scored as materialized (
+      select doc_id, len(ws) as n_features, coalesce(weight, 0) as weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::bigint + 0.5::double)
+                                                        / 4294967296)))::bigint as score
+      from d left join weights using (r)),
+    drawn as (
+      select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id, n_features) as place,
+             (count(*) filter (n_features >= 20) over ()) * 10 // 100 as k from scored)
+    select doc_id, n_features, weight, score, case when n_features >= 20 and place <= k then place end as rank from drawn"""
+
+
+ORACLES["op11_importance"] = _importance_oracle()
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return wh.whiten(rows, wh.fit_whitening(rows))
+
+
+@query
+def op13_simhash_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sr.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
