@@ -1,22 +1,24 @@
 """Term indexes as tables: postings, term, document and field statistics.
 
-Two forms with the same `lookup`: a live index over a table of words, and a stored index on files.
+`LiveIndex` looks terms up in a table of words; `stored.StoredIndex` has the same `lookup` on files.
 Filter columns (`attributes`) travel with the postings, so date filters need no join.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiquarry.functions.porter import stem_terms
+from lexiquarry.operators.fuzzy import fuzzy_expand
 from lexiquarry.session import settle
 
-# Above this number of distinct query terms a lookup joins instead of listing the terms.
-MAX_LISTED_TERMS = 5000
+# Bits of the filter that stands for the terms of a batch, whatever its size.
+FILTER_BITS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -91,8 +93,16 @@ def stem_index_words(words: DataFrame) -> DataFrame:
             .select(*words.columns))
 
 
-def _listed(term: Column, terms: list[str]) -> Column:
-    return term.isin(*terms) if terms else F.lit(False)
+def _may_be_listed(word: Column, terms: Iterable[str]) -> Column:
+    """True for the given terms and for few other words: a bit for each hash, in a table of fixed size."""
+    table = [0] * (FILTER_BITS // 32)
+    for term in terms:
+        place = zlib.crc32(term.encode()) % FILTER_BITS
+        table[place // 32] |= 1 << place % 32
+    bits = F.expr(f"array({', '.join(f'{v}L' for v in table)})")
+    place = F.crc32(word.cast("binary")) % FILTER_BITS
+    return F.get(bits, F.floor(place / 32).cast("int")).bitwiseAND(
+        F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int"))) != 0
 
 
 @dataclass(frozen=True)
@@ -105,26 +115,22 @@ class LiveIndex:
     def vocabulary(self) -> DataFrame:
         return vocabulary(self.words)
 
-    def lookup(self, terms: list[str] | None, positions: bool = False) -> Lookup:
-        """Statistics and postings of the listed terms (None: of all terms).
+    def fuzzy(self, terms: DataFrame) -> DataFrame:
+        return fuzzy_expand(self.vocabulary(), terms)
 
-        With a list the text is read once: the hits of each document are found inside the row and
-        written, with the document lengths, as a stage table that all statistics and scores read.
-        """
-        if terms is None:
-            postings = build_postings(self.words, self.attributes, positions)
-            occurrences = None
-            if positions:
-                occurrences = postings.select("field", "term", "doc_id", "dl", *self.attributes,
-                                              F.explode("positions").alias("pos"))
-            return Lookup(postings, term_stats(postings), field_stats(doc_stats(self.words)), occurrences)
+    def lookup(self, clauses: DataFrame, terms: Iterable[str], positions: bool = False) -> Lookup:
+        """Postings and statistics that hold those of the terms of a clause table, and of few other words.
 
+        The text is read once, with one plan for batches of any size: possible hits of each document are found inside the
+        row and written, with the document lengths, as a stage table that all statistics and scores read.
+        """
+        listed = sorted(set(terms))
         if positions:
             placed = F.transform(
                 F.col("words"), lambda w, i: F.struct(w.alias("term"), i.cast("long").alias("pos")))
-            hits = F.filter(placed, lambda h: _listed(h["term"], terms))
+            hits = F.filter(placed, lambda h: _may_be_listed(h["term"], listed))
         else:
-            found = F.filter(F.col("words"), lambda w: _listed(w, terms))
+            found = F.filter(F.col("words"), lambda w: _may_be_listed(w, listed))
             hits = F.transform(F.array(found), lambda m: F.transform(
                 F.array_distinct(m),
                 lambda t: F.struct(t.alias("term"),
@@ -140,54 +146,3 @@ class LiveIndex:
             rows = (rows.groupBy("doc_id", "field", "term", "dl", *self.attributes)
                     .agg(F.count("*").alias("tf")))
         return Lookup(rows, term_stats(rows), field_stats(hit_table.select("field", "dl")), occurrences)
-
-
-@dataclass(frozen=True)
-class StoredIndex:
-    """An index written by `write_index`."""
-
-    spark: SparkSession
-    path: str
-    attributes: tuple[str, ...] = field(default=())
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def vocabulary(self) -> DataFrame:
-        return self.table("term_stats").select("field", "term", "df")
-
-    def lookup(self, terms: list[str] | None, positions: bool = False) -> Lookup:
-        """Rows of the listed terms; files are sorted by term, so readers skip all other row groups."""
-        postings, stats = self.table("postings"), self.table("term_stats")
-        if terms is not None:
-            postings = postings.where(_listed(F.col("term"), terms))
-            stats = stats.where(_listed(F.col("term"), terms))
-        occurrences = None
-        if positions:
-            occurrences = postings.select("field", "term", "doc_id", "dl", *self.attributes,
-                                          F.explode("positions").alias("pos"))
-        columns = ["field", "term", "doc_id", "tf", "dl", *self.attributes]
-        return Lookup(postings.select(*columns), stats.select("field", "term", "df"),
-                      self.table("field_stats").select("field", "n_docs", "avgdl"), occurrences)
-
-
-def write_index(words: DataFrame, path: str, attributes: Iterable[str] = ()) -> StoredIndex:
-    """Replace the index at `path`.
-
-    Postings are range-partitioned by (field, term, doc_id) and sorted: term filters prune files and
-    row groups, and a term that fills a third of all rows still spreads over many files. The
-    statistics are read back from what was written, not from the text.
-    """
-    spark = words.sparkSession
-    attributes = tuple(attributes)
-    order = ["field", "term", "doc_id"]
-    (build_postings(words, attributes, positions=True)
-     .repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
-    doc_stats(words).write.mode("overwrite").partitionBy("field").parquet(f"{path}/doc_stats")
-    stored = StoredIndex(spark, path, attributes)
-    (term_stats(stored.table("postings")).repartitionByRange("field", "term")
-     .sortWithinPartitions("field", "term")
-     .write.mode("overwrite").partitionBy("field").parquet(f"{path}/term_stats"))
-    field_stats(stored.table("doc_stats")).write.mode("overwrite").parquet(f"{path}/field_stats")
-    return stored

@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 
 from lexiquarry.functions import text as tx
 from lexiquarry.operators import evaluate as ev
+from lexiquarry.operators import fuzzy as fz
 from lexiquarry.operators import index as ix
 from lexiquarry.operators import keywords as kw
 from lexiquarry.operators import lemmatize as lm
 from lexiquarry.operators import matching as ma
 from lexiquarry.operators import normalize as nz
 from lexiquarry.operators import search as se
+from lexiquarry.operators import stored as st
 from lexiquarry.operators import textrank as tr
 from lexiquarry.operators import tfidf as ti
 from lexiquarry.plans import oracle as o
 from lexiquarry.plans import pipelines as pl
-from lexiquarry.session import settle
+from lexiquarry.session import settle, stage_path
 from lexiquarry.sources import articles as ar
+from lexiquarry.sources import screening as sg
 from lexiquarry.sources.corpus import load_corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +135,49 @@ def docs_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ar.rows_as_json(ar.with_processed_copies(load_corpus(spark, sf_dir)), "doc_id")
 
 
+@register("csv_corpus", o._chain("""
+    select cast(doc_id as varchar) cord_uid, source source_x, nullif(title, '') title, nullif(abstract, '') abstract, publish_raw publish_time
+    from corpus""", "corpus"))
+def csv_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as CSV files with quoted cells over several lines, and read back."""
+    path = stage_path(spark, "csv")
+    load_corpus(spark, sf_dir).select(
+        F.col("doc_id").alias("cord_uid"), F.col("source").alias("source_x"), "title", "abstract",
+        F.col("publish_raw").alias("publish_time")).write.csv(path, header=True, quote='"', escape='"', emptyValue="", lineSep="\n",
+                                                             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return ar.read_articles_csv(spark, path).select("cord_uid", "source_x", "title", "abstract", "publish_time")
+
+
+_LINE_COLUMNS = ["cord_uid", "title", "lang", "source", "publish_time"]
+
+
+@register("rejected_rows", o._chain("""
+    with c as (select *, doc_id % 10 digit, '"' || replace(translate(title, chr(13), ' '), '"', '""') || '"' cell from corpus)
+    select 'malformed record' reasons, doc_id || ',' || cell || ',' || lang as record from c where digit = 1
+    union all select 'malformed record', doc_id || ',' || cell || ',' || lang || ',' || source || ',' || publish_raw || ',more' from c where digit = 2
+    union all select 'no id', nullif(translate(title, chr(13), ' '), '') from c where digit = 3""", "corpus").replace(
+        "\n\n    with c as", ",\n c as"))
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as lines of text, of which a tenth lacks cells, a tenth has one too many and a tenth has no id."""
+    lines, digit = stage_path(spark, "lines"), F.col("doc_id") % 10
+    title = F.translate("title", "\r", " ")
+    cell = F.concat(F.lit('"'), F.replace(title, F.lit('"'), F.lit('""')), F.lit('"'))
+    cells = [F.when(digit != 3, F.col("doc_id").cast("string")).otherwise(""), cell, F.col("lang"),
+             F.when(digit != 1, F.col("source")), F.when(digit != 1, F.coalesce("publish_raw", F.lit(""))), F.when(digit == 2, F.lit("more"))]
+    load_corpus(spark, sf_dir).select(F.concat_ws(",", *cells)).write.text(lines)
+    screened = sg.screen_csv(spark, lines, "cord_uid", stage_path(spark, "screened"), _LINE_COLUMNS, multi_line=False)
+    return screened.rejected.select(F.array_join(sg.REASONS, ", ").alias("reasons"), F.coalesce(sg.RECORD, "title").alias("record"))
+
+
+@register("normalized_table", o._chain("""
+    select doc_id, max(array_to_string(sentences, ' | ')) filter (field = 'pr_title') pr_title,
+           max(array_to_string(sentences, ' | ')) filter (field = 'pr_abstract') pr_abstract
+    from normal group by doc_id""", "normal"))
+def normalized_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = nz.normalize_table(ar.with_processed_copies(load_corpus(spark, sf_dir)))
+    return table.select("doc_id", *[F.array_join(F.col(c)["sentence"], " | ").alias(c) for c in nz.PROCESSED])
+
+
 # ---------------------------------------------------------------- index tables
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,20 +471,69 @@ _scored("english_match", INFLUENCE)
 _scored("bool_filter_match", MASKS)
 _hits("top_k_hits", FLAGSHIP, se.MatchQuery("longer", "thtion eranenes of", FIELDS_3, size=50))
 
-_FUZZY_TERMS = [("therinn", 2), ("whoo", 1), ("eranenes", 2)]
+# The same searches on an index that was written before; results are those of the live one.
+
+def _stored(spark: SparkSession, sf_dir: str) -> st.StoredIndex:
+    """The index of the whole corpus, opened from its folder as a reader would."""
+    path = stage_path(spark, "index")
+    st.write_index(_words(spark, sf_dir), path, pl.INDEX_ATTRIBUTES)
+    return st.open_index(spark, path)
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> st.StoredIndex:
+    """An index that becomes that of the whole corpus: a tenth of the documents was never there, for a tenth the index holds
+    titles in place of both texts, and both come in one upsert."""
+    path = stage_path(spark, "index")
+    words, digit = _words(spark, sf_dir), F.col("doc_id") % 10
+    corpus = load_corpus(spark, sf_dir).withColumn("abstract", F.when(digit == 3, F.col("title")).otherwise(F.col("abstract")))
+    st.write_index(pl.system2_words(corpus.where(digit != 7)), path, pl.INDEX_ATTRIBUTES)
+    st.upsert(st.open_index(spark, path), words.where(digit.isin(3, 7)))
+    return st.open_index(spark, path)
+
+
+_DEEP = se.MatchQuery("deep", "that erblest whou the", FIELDS_3, size=5000)
+_STORED_BATCH = (*QUESTIONS, FLAGSHIP, _DEEP)
+_STORED_SQL = o.search_sql(_STORED_BATCH, "select query_id, rank, doc_id, round(score, 6) score from hits", "hits")
+
+
+@register("stored_search", _STORED_SQL)
+def stored_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(se.search(_stored(spark, sf_dir), _STORED_BATCH, spark), "score")
+
+
+@register("upserted_search", _STORED_SQL)
+def upserted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(se.search(_upserted(spark, sf_dir), _STORED_BATCH, spark), "score")
+
+
+@register("compacted_term_stats", ORACLES["term_stats"])
+def compacted_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.compact(_upserted(spark, sf_dir)).vocabulary()
+
+
+@register("stored_phrase", _phrase_sql())
+def stored_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return se.match_phrase(_stored(spark, sf_dir), PHRASES, spark)
+
+
+_hits("top_5000_hits", _DEEP)
+
+
+_FUZZY_TERMS = [("therinn", 2), ("whoo", 1), ("eranenes", 2), ("teh", 1), ("htoin", 2)]
 
 
 @register("fuzzy_expand", o._chain(f"""
     select field, qterm query_term, term, cast(dist as bigint) dist,
            round(1 - dist / least(length(qterm), length(term)), 6) weight from (
-      select field, qterm, term, levenshtein(qterm, term) dist,
-             row_number() over (partition by field, qterm order by levenshtein(qterm, term), term) n
-      from df, (values {", ".join(f"('{t}', {d})" for t, d in _FUZZY_TERMS)}) q(qterm, edits)
-      where abs(length(term) - length(qterm)) <= edits and levenshtein(qterm, term) <= edits)
+      select *, row_number() over (partition by field, qterm order by dist, term) n from (
+        select field, qterm, term, edits, {o.distance_sql("qterm", "term")} dist
+        from df, (values {", ".join(f"('{t}', {d})" for t, d in _FUZZY_TERMS)}) q(qterm, edits)
+        where abs(length(term) - length(qterm)) <= edits and damerau_levenshtein(qterm, term) <= edits)
+      where dist <= edits)
     where n <= 50""", "df"))
 def fuzzy_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [{"field": f, "query_term": t, "max_edits": d} for f in FIELDS for t, d in _FUZZY_TERMS]
-    expanded = se.fuzzy_expand(_live(spark, sf_dir).vocabulary(), se.fuzzy_terms(spark, rows))
+    expanded = fz.fuzzy_expand(_live(spark, sf_dir).vocabulary(), fz.fuzzy_terms(spark, rows))
     return _rounded(expanded, "weight").select("field", "query_term", "term", "dist", "weight")
 
 

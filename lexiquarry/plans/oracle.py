@@ -17,7 +17,8 @@ from lexiquarry.functions.fixed import (
     ascii_spellings,
 )
 from lexiquarry.functions.porter import stem_word
-from lexiquarry.operators.search import MatchQuery, allowed_edits, required_matches
+from lexiquarry.operators.fuzzy import allowed_edits
+from lexiquarry.operators.search import MatchQuery, required_matches
 from lexiquarry.sources.corpus import FIRST_SENTENCE
 
 
@@ -309,6 +310,20 @@ def _clauses(query: MatchQuery) -> list[str]:
     return words
 
 
+def distance_sql(a: str, b: str) -> str:
+    """Optimal string alignment distance of two columns up to 2, 3 for more.
+
+    The engine's own function may edit a swapped pair once more. With two edits that shows where plain edits do not
+    suffice: then some swap must part both words into halves that are one edit apart at most.
+    """
+    own = f"damerau_levenshtein({a}, {b})"
+    halves = (f"damerau_levenshtein(left({a}, i - 1), left({b}, j - 1)) "
+              f"+ damerau_levenshtein(substr({a}, i + 2), substr({b}, j + 2)) <= 1")
+    swap = (f"len(list_filter(range(1, length({a})), lambda i: len(list_filter([i - 1, i, i + 1], lambda j: j >= 1 "
+            f"and substr({b}, j, 2) = reverse(substr({a}, i, 2)) and {halves})) > 0)) > 0")
+    return f"case when {own} > 2 then 3 when {own} < 2 or levenshtein({a}, {b}) <= 2 or {swap} then {own} else 3 end"
+
+
 def _search_steps(queries: Sequence[MatchQuery], prefix: str = "", suffix: str = "") -> dict:
     """Subqueries ending in `scored` (query_id, doc_id, score) and `hits` (… rank)."""
     rows, heads = [], []
@@ -328,9 +343,10 @@ def _search_steps(queries: Sequence[MatchQuery], prefix: str = "", suffix: str =
         f"{p}qt": ([], f"select * from (values {', '.join(rows)}) v(query_id, clause_no, field, qterm, edits)"),
         f"{p}qf": ([], f"select * from (values {', '.join(heads)}) v(query_id, field, boost, need, size)"),
         f"{p}near": ([f"{p}qt", f"df{suffix}"], f"""
-          select query_id, clause_no, field, qterm, term, df, levenshtein(qterm, term) dist
+          select query_id, clause_no, field, qterm, term, df, {distance_sql("qterm", "term")} dist
           from {p}qt join df{suffix} using (field)
-          where abs(length(term) - length(qterm)) <= edits and levenshtein(qterm, term) <= edits"""),
+          where abs(length(term) - length(qterm)) <= edits and damerau_levenshtein(qterm, term) <= edits
+            and {distance_sql("qterm", "term")} <= edits"""),
         f"{p}expanded": ([f"{p}near"], f"""
           select *, 1 - dist / least(length(qterm), length(term)) weight,
                  max(df) over (partition by query_id, clause_no, field) max_df

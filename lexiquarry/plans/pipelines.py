@@ -105,7 +105,8 @@ def judge(hits: DataFrame, labels: DataFrame) -> DataFrame:
 
     `hits` should be settled: it has at most size x queries x systems rows and is read twice.
     """
+    # The planner knows the size of a settled table.
     wanted = hits.select("doc_id").distinct()
-    known = labels.join(F.broadcast(wanted), "doc_id", "left_semi").select("doc_id", "quality")
+    known = labels.join(wanted, "doc_id", "left_semi").select("doc_id", "quality")
     return hits.join(known, "doc_id", "left").select(
         "query_id", "system", "rank", F.coalesce(F.col("quality").cast("long"), F.lit(0)).alias("rel"))

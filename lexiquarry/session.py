@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings the plans are written for. All are Spark defaults or harmless to repeat.
 RECOMMENDED_CONF = {
@@ -49,6 +50,11 @@ def stage_dir(spark: SparkSession) -> str:
     return _LOCAL_STAGE_DIRS[application]
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{stage_dir(spark)}/lexiquarry/{name}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a stage table in the shared folder and read it back.
 
@@ -56,7 +62,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     broadcasts the table only below `spark.sql.autoBroadcastJoinThreshold` and shuffles beyond.
     """
     spark = df.sparkSession
-    path = f"{stage_dir(spark)}/lexiquarry/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -65,3 +71,20 @@ def local_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> Dat
     """Turn a few argument rows into a DataFrame whose exact size the planner knows."""
     columns = {f.name: [row.get(f.name) for row in rows] for f in schema}
     return spark.createDataFrame(pa.table(columns, schema=schema))
+
+
+# Generous size of one row of a table of query arguments or hits.
+ROW_BYTES = 500
+
+
+def broadcast_at_most(df: DataFrame, n_rows: int) -> DataFrame:
+    """`df` with a broadcast hint if `n_rows` rows, its proven bound, are below the planner's own broadcast limit."""
+    limit = df.sparkSession.sql("set spark.sql.autoBroadcastJoinThreshold").first().value
+    return F.broadcast(df) if n_rows * ROW_BYTES <= size_in_bytes(limit) else df
+
+
+def size_in_bytes(text: str) -> int:
+    """Bytes of a setting such as "10485760b", "10MB" or "-1"."""
+    number = text.strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(number[:-1]) * units[number[-1]] if number[-1:] in units else int(number)

@@ -5,8 +5,10 @@ from collections import Counter
 
 import pytest
 
+from lexiquarry.operators import fuzzy as fz
 from lexiquarry.operators import index as ix
 from lexiquarry.operators import search as se
+from lexiquarry.operators import stored as st
 
 SCHEMA = "doc_id long, field string, words array<string>, publish_time date"
 
@@ -23,12 +25,17 @@ def make_words(spark, seed=1, n_docs=60):
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    """Edits with swaps of neighbours, no place edited twice, by the whole table."""
+    d = {}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            if not i or not j:
+                d[i, j] = i + j
+                continue
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
 
 
 def brute_force(rows, query):
@@ -41,7 +48,7 @@ def brute_force(rows, query):
         df = Counter(t for w in docs.values() for t in set(w))
         clauses = []
         for term in terms:
-            edits = se.allowed_edits(query.fuzziness, term) if query.fuzziness else 0
+            edits = fz.allowed_edits(query.fuzziness, term) if query.fuzziness else 0
             near = sorted((distance(term, t), t) for t in df if distance(term, t) <= edits)[:50]
             clauses.append({t: 1 - k / min(len(t), len(term)) for k, t in near})
         need = se.required_matches(query.minimum_should_match, len(terms))
@@ -89,26 +96,6 @@ def test_scores_against_brute_force(spark, queries):
         assert want and got[query.query_id] == pytest.approx(want, abs=2e-6)
 
 
-def test_stored_index_gives_the_same(spark, tmp_path):
-    _, words = make_words(spark)
-    live = ix.LiveIndex(words, ("publish_time",))
-    stored = ix.write_index(words, str(tmp_path / "index"), ("publish_time",))
-    stored = ix.write_index(words, str(tmp_path / "index"), ("publish_time",))
-    batch = QUERIES + FUZZY
-    assert scores(se.multi_match(stored, batch, spark)) == scores(se.multi_match(live, batch, spark))
-    phrases = {"p": ("pr_abstract", "fever fever")}
-    a, b = (sorted(map(tuple, se.match_phrase(i, phrases, spark).collect())) for i in (live, stored))
-    assert a == b and a
-
-
-def test_whole_vocabulary_lookup(spark, monkeypatch):
-    _, words = make_words(spark)
-    live = ix.LiveIndex(words, ("publish_time",))
-    listed = scores(se.multi_match(live, QUERIES, spark))
-    monkeypatch.setattr(se, "MAX_LISTED_TERMS", 1)
-    assert scores(se.multi_match(live, QUERIES, spark)) == listed
-
-
 def test_phrase_counts(spark):
     texts = {1: "a b a b c", 2: "b a", 3: "a a a", 4: "x"}
     words = spark.createDataFrame([(d, "t", w.split(), None) for d, w in texts.items()], SCHEMA)
@@ -127,10 +114,36 @@ def test_top_hits_sizes_and_ties(spark):
                    ("b", 4, 17), ("b", 5, 14)]
 
 
+@pytest.mark.parametrize("ties", [1, 40, 3000])
+def test_large_sizes_are_cut_before_they_are_ranked(spark, ties):
+    rng = random.Random(ties)
+    rows = [("a", d, float(rng.randrange(3000 // ties + 1))) for d in range(3000)] + [("a", 9000, 1e9)]
+    rows += [("b", d, 0.5) for d in range(1500)] + [("c", d, rng.random() ** 9) for d in range(700)]
+    frame = spark.createDataFrame(rows, "query_id string, doc_id long, score double").repartition(3)
+    sizes = {"a": 1700, "b": 1200, "c": 2500}
+    want = {q: sorted(((-s, d) for i, d, s in rows if i == q))[:n] for q, n in sizes.items()}
+    got = se.top_hits(frame, [se.MatchQuery(q, "", {}, size=n) for q, n in sizes.items()]).collect()
+    for q in sizes:
+        assert sorted((r["rank"], r.doc_id) for r in got if r.query_id == q) == [(k, d) for k, (_, d) in enumerate(want[q], 1)]
+    assert se.top_hits(frame, 1300).count() == 1300 + 1300 + 700
+    kept = se._cut(frame, 1300).where("query_id = 'a'").count()
+    assert kept < 3001 or ties == 3000
+
+
 def test_required_matches_and_edits():
     assert [se.required_matches("50%", n) for n in (1, 2, 3, 5)] == [1, 1, 1, 2]
     assert se.required_matches(None, 4) == 1 and se.required_matches(3, 4) == 3
-    assert [se.allowed_edits("AUTO", "x" * n) for n in (1, 2, 3, 5, 6)] == [0, 0, 1, 1, 2]
+    assert [fz.allowed_edits("AUTO", "x" * n) for n in (1, 2, 3, 5, 6)] == [0, 0, 1, 1, 2]
+    with pytest.raises(ValueError):
+        fz.allowed_edits(3, "word")
+
+
+def test_one_filter_for_batches_of_any_size(spark):
+    """The plan of a live lookup does not grow with the batch; words that only share a bit are not scored."""
+    rows, words = make_words(spark)
+    many = [se.MatchQuery("many", "fever mask " + " ".join(f"w{i}" for i in range(6000)), FIELDS)]
+    got = scores(se.multi_match(ix.LiveIndex(words, ("publish_time",)), many, spark))["many"]
+    assert got == pytest.approx(brute_force(rows, se.MatchQuery("many", "fever mask", FIELDS)), abs=2e-6)
 
 
 def test_english_analysis(spark):
