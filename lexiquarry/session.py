@@ -79,8 +79,12 @@ ROW_BYTES = 500
 
 def broadcast_at_most(df: DataFrame, n_rows: int) -> DataFrame:
     """`df` with a broadcast hint if `n_rows` rows, its proven bound, are below the planner's own broadcast limit."""
-    limit = df.sparkSession.sql("set spark.sql.autoBroadcastJoinThreshold").first().value
-    return F.broadcast(df) if n_rows * ROW_BYTES <= size_in_bytes(limit) else df
+    return F.broadcast(df) if n_rows * ROW_BYTES <= broadcast_limit(df.sparkSession) else df
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which the planner broadcasts by itself."""
+    return size_in_bytes(spark.sql("set spark.sql.autoBroadcastJoinThreshold").first().value)
 
 
 def size_in_bytes(text: str) -> int:

@@ -15,6 +15,7 @@ def spark():
     session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4",
                             spark__ui__enabled="false", spark__driver__memory="8g")
     session.sparkContext.setLogLevel("OFF")
+    session.sparkContext.environment["PYTHONPATH"] = ROOT  # workers find the package wherever pytest was started
     session.conf.set("lexiquarry.corpus.partitions", "4")
     yield session
     session.stop()
