@@ -37,6 +37,7 @@ from lexiquarry.llm.pieces import Memo, distinct_pieces, gather, marked
 MARK = "▁"
 CHUNK_CHARS = 1 << 15
 UNKNOWN_PENALTY = 10.0
+MEMO_PIECES = 250_000  # some 300 bytes each
 NEVER = -1e8  # pieces of a smaller score were not ranked
 _EMPTY = np.uint64(2**64 - 1)
 _SLOT = np.uint64(0x9E3779B97F4A7C15)
@@ -206,7 +207,7 @@ class Vocabulary:
 class Encoder:
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
-        self.memo = Memo()
+        self.memo = Memo(MEMO_PIECES)
 
     def _solve(self, pieces: list[bytes]) -> Iterator[bytes]:
         texts = [p.decode("utf-8", "replace").replace(" ", MARK) for p in pieces]
