@@ -23,7 +23,7 @@ from lexiquarry.llm import toxicity as tx
 from lexiquarry.llm import whitening as wh
 from lexiquarry.llm.sampling import held_out
 from lexiquarry.llm.stages import TOXIC_CATEGORIES, fit_chain, model_file
-from lexiquarry.llm.storage import stage_path
+from lexiquarry.llm.storage import settle, stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,7 +141,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = model_file()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
     coded = sp.encode_pieces(docs, model, keep=["crc"])
-    read = sp.decode_pieces(coded.withColumn("kept", F.col("ids")), model)
+    # Written first: encoder and decoder in one stage would be two Python workers for each task.
+    read = sp.decode_pieces(settle(coded, "ids").withColumn("kept", F.col("ids")), model)
     return read.select("doc_id", "n_tokens", F.col("kept").alias("ids"), (F.crc32("text") == F.col("crc")).alias("round_trip"))
 
 
