@@ -1,7 +1,8 @@
 """Nearest neighbours by largest inner product on robust-pruned directed graphs.
 
-Vectors are dealt into shards of bounded size, and each shard gets a graph. A vector gets one more component,
-sqrt(largest norm**2 - norm**2), which makes the order by inner product one by distance. Points join the graph
+Vectors are dealt into shards of bounded size whose norms lie within half an octave, and each shard gets a graph. A
+vector gets one more component, sqrt(largest norm**2 - norm**2), which makes the order by inner product one by
+distance; as norms differ little, no vector of a shard is hidden behind a far larger one. Points join the graph
 in batches that double: greedy searches from the middle propose neighbours, pruning keeps a near one and
 drops those it leads to (closer to it by `ALPHA`), backward edges are added and pruned again. A beam search
 of every query visits each shard; its best rows are scored again in double precision on the original vectors.
@@ -151,9 +152,11 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
     nodes = (rows.distinct().withColumn("place", place).where(F.col("place") <= k + 1)
              .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     nodes = settle(nodes.withColumn("dim", F.size("v")), "nodes")
-    # One row for each length of vectors, so it may be broadcast.
-    sizes = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
-    dealt = nodes.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("v"), "shards").cast("int"))
+    nodes = nodes.withColumn("band", norm_band(F.col("v")))
+    # One row for each length of vectors and band of norms, of which doubles have below 5000, so it may be broadcast.
+    sizes = nodes.groupBy("dim", "band").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
+    dealt = nodes.join(F.broadcast(sizes), ["dim", "band"]).withColumn(
+        "shard", F.col("band") * F.lit(1 << 32) + F.pmod(F.xxhash64("v"), "shards"))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(first=[i[0] for i in group["ids"]]).sort_values("first")
@@ -167,14 +170,32 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
                              "graph": [graph.astype(np.int32).tobytes()], "start": [start]})
 
     # A group has about shard_rows rows: vectors are dealt out by their hash.
-    schema = "shard int, dim int, n int, ids binary, vectors binary, graph binary, start int"
+    schema = "shard long, dim int, n int, ids binary, vectors binary, graph binary, start int"
     return settle(dealt.groupBy("dim", "shard").applyInPandas(build, schema), "graphs")
 
 
+def norm_band(v: Column) -> Column:
+    """Half octave that the norm of a vector lies in; norms near 1 share one."""
+    largest = F.array_max(F.transform(v, lambda c: F.abs(c)))
+    rest = F.aggregate(v, F.lit(0.0), lambda s, c: s + (c / largest) * (c / largest))
+    return F.floor(2 * F.log2(largest) + F.log2(rest) + 0.5)
+
+
+def directions(x: np.ndarray) -> np.ndarray:
+    """Rows divided by their norms."""
+    scaled = x / np.abs(x).max(axis=1, keepdims=True, initial=1e-300)
+    return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+
+
 def extended(x: np.ndarray) -> np.ndarray:
-    """Points whose distances order inner products with a query that has a zero as its last component."""
-    norm = (x * x).sum(axis=1)
-    return np.concatenate([x, np.sqrt(norm.max() - norm)[:, None]], axis=1).astype(np.float32)
+    """Points whose distances order inner products with a query that has a zero as its last component.
+
+    They are divided by the largest norm, so single precision does for vectors of any size.
+    """
+    scaled = x / np.abs(x).max()
+    norm = (scaled * scaled).sum(axis=1)
+    points = np.concatenate([scaled, np.sqrt(norm.max() - norm)[:, None]], axis=1)
+    return (points / np.sqrt(norm.max())).astype(np.float32)
 
 
 def nearest(index: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20,
@@ -199,7 +220,7 @@ def nearest(index: DataFrame, queries: DataFrame, key: str = "vec_id", vector: s
             own = np.array(row["q"].values.field("id"))
             q = np.array(row["q"].values.field("v").flatten()).reshape(len(own), dim)
             zero = np.zeros((len(q), 1))
-            found = beam_search(extended(x), graph, row["start"].as_py(), np.hstack([q, zero]).astype(np.float32), beam)
+            found = beam_search(extended(x), graph, row["start"].as_py(), np.hstack([directions(q), zero]).astype(np.float32), beam)
             for j in range(len(own)):
                 node = found[j][found[j] >= 0]
                 score = np.repeat(x[node] @ q[j], k + 1)

@@ -153,6 +153,29 @@ def test_graph_search_on_the_given_table(spark):
     assert all(np.isclose(s, np.dot(np.array(exact[q], float), np.array(exact[i], float))) for q in got for i, s in got[q])
 
 
+@pytest.mark.parametrize("kind", ["unit", "log-normal", "outliers"])
+def test_graph_search_over_several_shards(spark, kind):
+    made = np.random.default_rng(11)
+    x = made.normal(size=(2400, 24)) @ np.diag(np.linspace(2, 0.3, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "log-normal":
+        x *= made.lognormal(sigma=1.0, size=(len(x), 1))
+    if kind == "outliers":
+        x[7] *= 1e4
+        x[40] *= 1e20
+        x[41] *= 1e-30
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = ag.build_index(table, shard_rows=400)
+    assert index.count() >= 5
+    got = {}
+    for r in ag.nearest(index, table.where("vec_id % 20 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(rows)
+    assert set(got) == set(want) and all(len(got[q]) == 20 for q in want)
+    assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
 def test_graph_search_of_odd_vectors(spark, rng):
     rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(60)]
     rows += [(100 + i, [3.0, 0.0, 0.0, 0.0]) for i in range(40)]  # one vector many times
