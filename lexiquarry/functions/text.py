@@ -74,14 +74,15 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _folded(c: Column) -> Column:
+def folded(c: Column) -> Column:
+    """Lower-case ASCII spelling."""
     return F.lower(to_ascii(c))
 
 
 def _marked(c: Column) -> Column:
     """Folded text with a mark after each sentence end."""
     return F.regexp_replace(
-        F.regexp_replace(_folded(c), r"\s+$", ""), SENTENCE_END, "$1" + SENTENCE_MARK)
+        F.regexp_replace(folded(c), r"\s+$", ""), SENTENCE_END, "$1" + SENTENCE_MARK)
 
 
 def _words_only(c: Column) -> Column:
@@ -121,7 +122,7 @@ def flat_words(sentences: Column) -> Column:
 
 def normalized_words(c: Column) -> Column:
     """All words of a raw text in order; the same words as in `normalize_sentences`."""
-    return words_of(_words_only(_folded(c)))
+    return words_of(_words_only(folded(c)))
 
 
 def drop_stop_words(sentences: Column, stop_words: list[str] | None = None) -> Column:

@@ -16,6 +16,7 @@ from lexiquarry.operators import lemmatize as lm
 from lexiquarry.operators import matching as ma
 from lexiquarry.operators import normalize as nz
 from lexiquarry.operators import search as se
+from lexiquarry.operators import sentence_ends as sn
 from lexiquarry.operators import stored as st
 from lexiquarry.operators import textrank as tr
 from lexiquarry.operators import tfidf as ti
@@ -223,6 +224,28 @@ def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "field", tx.split_sentences(F.col("text")).alias("sentences")))
 
 
+@register("abbreviations", o._chain(
+    "select word, n_stop, n_plain, round(score, 4) score, score >= 0.3 is_short from abbr", "abbr"))
+def abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = sn.score_abbreviations(sn.stop_counts(nz.to_fields(load_corpus(spark, sf_dir), nz.PROCESSED)))
+    return _rounded(scored.withColumn("is_short", F.col("score") >= sn.LEAST_SCORE), "score", digits=4)
+
+
+@register("learnt_sentences", o._chain(r"""
+    select doc_id, field, cast(generate_subscripts(l, 1) - 1 as bigint) sent_no, unnest(l) sentence from (
+      select doc_id, field, list_transform(list_filter(string_split(string_agg(sentence || case
+               when suffix(sentence, '.') and regexp_replace(regexp_extract(sentence, '(\S+)$', 1), '\.$', '') in (
+                 select word from abbr where score >= 0.3) then ' ' else chr(1) end, '' order by sent_no), chr(1)),
+               lambda x: x <> ''), lambda x: rtrim(x)) l
+      from (select doc_id, field, generate_subscripts(s, 1) sent_no, unnest(s) sentence
+            from (select doc_id, field, list_filter(string_split(regexp_replace(t, ' +', ' ', 'g'), chr(1)),
+                         lambda x: x <> '') s from marked)) group by doc_id, field)""", "marked", "abbr"))
+def learnt_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = nz.to_fields(load_corpus(spark, sf_dir), nz.PROCESSED)
+    known = sn.abbreviations(sn.score_abbreviations(sn.stop_counts(fields)))
+    return nz.explode_sentences(sn.split_sentences(fields, known))
+
+
 @register("tokenize", o._chain("select doc_id, field, sent_no, pos, word from tok", "tok"))
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nz.explode_words(nz.normalize_fields(load_corpus(spark, sf_dir)))

@@ -101,6 +101,18 @@ _step("marked", ["folded"], f"""
   select doc_id, field, text,
          regexp_replace(regexp_replace(t, '\\s+$', ''), {_quote(tx.SENTENCE_END)}, '\\1' || {MARK}, 'g') t
   from folded""")
+_step("stops", ["folded"], r"""
+  select word, count(*) filter (stop) n_stop, count(*) filter (not stop) n_plain from (
+    select regexp_replace(token, '\.$', '') word, suffix(token, '.') stop from (
+      select unnest(string_split(trim(regexp_replace(t, '\s+', ' ', 'g')), ' ')) token from folded))
+  where regexp_full_match(word, '[a-z]+(\.[a-z]+)*') group by word""")
+_step("abbr", ["stops"], """
+  select word, n_stop, n_plain, round(-2e0
+           * (n_stop * ln(share) + case when n_plain > 0 then n_plain * ln(1 - share) else 0 end
+              - (n_stop * ln(0.99e0) + n_plain * ln(1 - 0.99e0)))
+           * exp(-letters::double) * (length(word) - letters + 1) * exp(-n_plain * ln(letters::double)), 9) score
+  from (select *, length(replace(word, '.', '')) letters,
+               (select sum(n_stop)::double / sum(n_stop + n_plain) from stops) share from stops where n_stop > 0)""")
 _step("normal", ["marked"], f"""
   select doc_id, field, case when regexp_full_match(text, '\\s*') then [] else string_split_regex(
     regexp_replace(trim(regexp_replace(t, {_quote(tx.NON_WORD_RUN)}, ' ', 'g')),
