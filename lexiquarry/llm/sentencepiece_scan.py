@@ -1,7 +1,8 @@
 """SentencePiece encoding as a max-plus scan, and decoding.
 
 A text is segmented into the vocabulary's pieces with the largest sum of scores, as in the library's
-unigram mode (of equal sums, any one may be chosen). A character without a piece
+unigram mode. Scores are rounded to multiples of 2**-24, so sums are exact and do not depend on their order; of equal
+sums, the one whose last piece is longest is taken, then the longest before it, and so on. A character without a piece
 costs the smallest score less ten and becomes byte pieces. Scores of a file learnt by merges are ranks, not
 log-probabilities; rank r counts as -log(1 + r) then, its log-probability under Zipf's law up to a constant.
 
@@ -9,8 +10,9 @@ Where no piece contains two neighbouring characters, every segmentation has a bo
 text falls into short pieces there and each distinct one is solved once per block, all of them in step.
 A giant text is cut anywhere into chunks of fixed length. A chunk gives a max-plus matrix: the best score from
 "so many characters of it belong to a piece begun before" to "so many characters beyond it are taken".
-Products of these matrices give the best states at all chunk borders, and then every chunk is traced
-back on its own.
+What lies between the first and the last certain border of a chunk is solved in the same pass. The matrices are
+multiplied up a tree, FAN neighbours at a time, and going down it each chunk gets the best scores of all states before it.
+With these, the head and the tail of every chunk are traced back on their own. Ids do not depend on the length of chunks.
 
 Defined results: a null or empty text has no ids; repeated rows give repeated results; an empty table gives
 an empty result. Decoding turns the piece mark into a blank, so a text that contains the mark itself decodes
@@ -21,7 +23,6 @@ Other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,6 +37,9 @@ from lexiquarry.llm.pieces import Memo, distinct_pieces, gather, marked
 
 MARK = "▁"
 CHUNK_CHARS = 1 << 15
+FAN = 16
+GRID = 1 << 24
+FEW = 32  # texts of one length that are not worth a matrix
 UNKNOWN_PENALTY = 10.0
 MEMO_PIECES = 250_000  # some 300 bytes each
 NEVER = -1e8  # pieces of a smaller score were not ranked
@@ -66,7 +70,7 @@ class Vocabulary:
         if ranked and min(ranked) >= 0 and all(r == int(r) for r in ranked):
             behind = max(ranked) + 1
             scores = {i: -math.log(1 + min(-s, behind)) for i, s in scores.items()}
-        self.scores = scores
+        self.scores = scores = {i: round(s * GRID) / GRID for i, s in scores.items()}
         self.unknown_score = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.text_of = [b""] * n
         for i in plain:
@@ -74,6 +78,13 @@ class Vocabulary:
         for value, i in enumerate(self.byte_ids):
             if i >= 0:
                 self.text_of[i] = bytes([value])
+        # A character made of byte pieces counts once, at its first byte.
+        self.score_of = np.zeros(n)
+        self.score_of[list(scores)] = list(scores.values())
+        self.score_of[self.unknown_id] = self.unknown_score
+        first_bytes = self.byte_ids[np.r_[0:128, 192:256]]
+        self.score_of[first_bytes[first_bytes >= 0]] = self.unknown_score
+        self.known = {pieces[i]: (i, scores[i]) for i in plain}
         self._build([(pieces[i], i) for i in plain], scores)
         # Pairs of characters that stand side by side in some piece; all others always part.
         codes = [[32 if c == MARK else ord(c) for c in pieces[i]] for i in plain]
@@ -119,15 +130,14 @@ class Vocabulary:
             open_, slot = open_[on], (slot[on] + 1) & self.mask
         return out
 
-    def relax(self, chars: np.ndarray, best: np.ndarray, came: np.ndarray, piece: np.ndarray,
-              last: int | None = None) -> None:
+    def relax(self, chars: np.ndarray, best: np.ndarray, came: np.ndarray, piece: np.ndarray) -> None:
         """Forward pass over a matrix of equally long texts.
 
         `best[:, p]` is the largest score of the first p characters, `came` the start of the last piece
-        and `piece` its id (-1 for an unknown character). Starts up to `last` are used.
+        and `piece` its id (-1 for an unknown character).
         """
         n = chars.shape[1]
-        for start in range(n if last is None else min(last, n)):
+        for start in range(n):
             rows = np.flatnonzero(best[:, start] > -np.inf)
             node = np.zeros(len(rows), np.int32)
             for end in range(start + 1, min(start + self.longest, n) + 1):
@@ -151,6 +161,28 @@ class Vocabulary:
         best[rows, end], came[rows, end] = score[up], start
         piece[rows, end] = ids[up] if isinstance(ids, np.ndarray) else ids
 
+    def relax_one(self, text: str, reach: Sequence[float], last: int) -> tuple[list[float], list[int], list[int]]:
+        """(best, came, piece) of one text, as by `relax`, from first places with the scores `reach`.
+
+        `came` is -1 where nothing in the text is better than `reach`: of equal sums, the last piece that began before it is longer.
+        """
+        n, longest, known = len(text), self.longest, self.known
+        best, came, piece = [-math.inf] * (n + 1), [-1] * (n + 1), [-1] * (n + 1)
+        best[:len(reach)] = reach[:n + 1]
+        for start in range(min(last, n)):
+            base = best[start]
+            if base == -math.inf:
+                continue
+            for end in range(start + 1, min(start + longest, n) + 1):
+                found = known.get(text[start:end])
+                if found is None:
+                    if end > start + 1:
+                        continue
+                    found = -1, self.unknown_score
+                if base + found[1] > best[end]:
+                    best[end], came[end], piece[end] = base + found[1], start, found[0]
+        return best, came, piece
+
     def trace(self, text: str, came: np.ndarray, piece: np.ndarray, end: int, start: int = 0) -> list[int]:
         """Ids along the best path that ends at `end`, back to `start`."""
         ids: list[int] = []
@@ -173,6 +205,11 @@ class Vocabulary:
         for i, t in enumerate(texts):
             by_size.setdefault(len(t), []).append(i)
         for size, members in by_size.items():
+            if len(members) < FEW:
+                for i in members:
+                    best, came, piece = self.relax_one(texts[i], [0.0], size)
+                    out[i] = best[size], np.array(self.trace(texts[i], came, piece, size), np.int32).tobytes()
+                continue
             rows = max(1, (1 << 19) // (size + 1))
             for at in range(0, len(members), rows):
                 part = members[at:at + rows]
@@ -242,77 +279,71 @@ class Encoder:
                 yield first, last, np.zeros(0, np.int32), np.zeros(last - first + 1, np.int64)
                 continue
             starts = marked(len(block), self.borders(block), breaks[:-1])
-            index, distinct = distinct_pieces(block, starts, np.append(starts[1:], len(block)))
-            known = self.memo.lookup(distinct, self._solve)
-            values = np.frombuffer(b"".join(known), np.int32)
-            ids, bounds = gather(values, np.array([len(k) // 4 for k in known], np.int64), index)
+            ids, bounds = self._ids(block, starts)
             yield first, last, ids, bounds[np.searchsorted(starts, breaks)]
 
-    def _spread(self, text: str, entries: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Forward pass over one text from `entries` different starts, in step."""
-        chars = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        best = np.full((entries, len(text) + 1), -np.inf)
-        best[np.arange(entries), np.arange(entries)] = 0
-        came, piece = np.zeros(best.shape, np.int32), np.full(best.shape, -1, np.int32)
-        self.vocabulary.relax(np.broadcast_to(chars, (entries, len(text))), best, came, piece, last)
-        return best, came, piece
+    def _ids(self, block: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds of each piece) of a block whose pieces between certain borders begin at `starts`."""
+        index, distinct = distinct_pieces(block, starts, np.append(starts[1:], len(block)))
+        known = self.memo.lookup(distinct, self._solve)
+        values = np.frombuffer(b"".join(known), np.int32)
+        return gather(values, np.array([len(k) // 4 for k in known], np.int64), index)
 
-    def _split(self, chunk: str) -> tuple[str, list[str], str]:
-        """(head, pieces between borders, tail); without a border all of the chunk is the tail."""
-        data = np.frombuffer(chunk.encode("utf-8", "replace"), np.uint8)
-        cuts = self.borders(data)
-        if not len(cuts):
-            return "", [], chunk
-        raw = data.tobytes()
-        inner = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
-        return raw[:cuts[0]].decode("utf-8", "replace"), inner, raw[cuts[-1]:].decode("utf-8", "replace")
+    def open_chunk(self, chunk: str, ahead: str) -> tuple[np.ndarray, str | None, np.ndarray, str]:
+        """(matrix, head, ids between the first and the last certain border, tail) of a chunk.
 
-    def transfer(self, chunk: str, ahead: str) -> np.ndarray:
-        """Max-plus matrix of a chunk: [characters taken from before, characters taken beyond] -> score.
-
-        `ahead` are the characters that follow the chunk, as many as a piece may reach. Between the first and
-        the last certain border of the chunk there is one state only, so the matrix is the product of
-        a column (the head), a number (what lies between) and a row (the tail).
+        The max-plus matrix is [characters taken from before, characters taken beyond] -> score. `ahead` are the characters that
+        follow the chunk, as many as a piece may reach. At a certain border there is one state only, so the matrix is
+        the product of a column (the head), a number (what lies between) and a row (the tail). Without such a
+        border the head is None and all of the chunk is the tail.
         """
         v = self.vocabulary
-        chunk, ahead = chunk.replace(" ", MARK), ahead.replace(" ", MARK)
-        head, inner, tail = self._split(chunk)
+        data = np.frombuffer(chunk.encode("utf-8", "replace"), np.uint8)
+        cuts = self.borders(data)
+        ahead = ahead.replace(" ", MARK)
         out = np.full((v.longest, v.longest), -np.inf)
-        if head or inner:
-            entries = min(v.longest, len(head) + 1)
-            column = np.full((v.longest, 1), -np.inf)
-            column[:entries, 0] = self._spread(head, entries, len(head))[0][:, len(head)]
-            counts = Counter(inner)
-            total = sum(n * s[0] for n, s in zip(counts.values(), v.solve(list(counts)), strict=True))
-            best = self._spread(tail + ahead, 1, len(tail))[0]
-            row = np.full((1, v.longest), -np.inf)
-            reach = best[0, len(tail):len(tail) + v.longest]
-            row[0, :len(reach)] = reach
-            return max_plus(column + total, row)
-        entries = min(v.longest, len(tail) + 1)
-        best = self._spread(tail + ahead, entries, len(tail))[0]
-        reach = best[:, len(tail):len(tail) + v.longest]
-        out[:entries, :reach.shape[1]] = reach
-        return out
+        if not len(cuts):
+            tail = chunk.replace(" ", MARK)
+            entries = min(v.longest, len(tail) + 1)
+            reach = self._spread(tail + ahead, entries, len(tail))[:, len(tail):len(tail) + v.longest]
+            out[:entries, :reach.shape[1]] = reach
+            return out, None, np.zeros(0, np.int32), tail
+        head, tail = (part.tobytes().decode("utf-8", "replace").replace(" ", MARK) for part in (data[:cuts[0]], data[cuts[-1]:]))
+        ids = self._ids(data[cuts[0]:cuts[-1]], cuts[:-1] - cuts[0])[0] if len(cuts) > 1 else np.zeros(0, np.int32)
+        entries = min(v.longest, len(head) + 1)
+        column = self._spread(head, entries, len(head))[:, len(head)] + v.score_of[ids].sum()
+        row = self._spread(tail + ahead, 1, len(tail))[0, len(tail):len(tail) + v.longest]
+        out[:entries, :len(row)] = column[:, None] + row
+        return out, head, ids, tail
+
+    def _spread(self, text: str, entries: int, last: int) -> np.ndarray:
+        """Best scores at all places of a text, from `entries` different starts."""
+        return np.array([self.vocabulary.relax_one(text, [-math.inf] * i + [0.0], last)[0] for i in range(entries)])
+
+    def entries(self, head: str | None, tail: str, ahead: str, reach: np.ndarray) -> list[int]:
+        """Characters taken from before on the best path, for each number of characters taken beyond; one number if all agree."""
+        if head is not None:
+            return [self._back(self.vocabulary.relax_one(head, reach.tolist(), len(head))[1], len(head))]
+        best, came, _ = self.vocabulary.relax_one(tail + ahead.replace(" ", MARK), reach.tolist(), len(tail))
+        most = min(self.vocabulary.longest, len(best) - len(tail))
+        return [self._back(came, len(tail) + leave) if best[len(tail) + leave] > -np.inf else -1 for leave in range(most)]
 
-    def trace_chunk(self, chunk: str, ahead: str, enter: int, leave: int) -> np.ndarray:
-        """Ids of the pieces that begin in the chunk, on the best path between two border states."""
-        v = self.vocabulary
-        chunk, ahead = chunk.replace(" ", MARK), ahead.replace(" ", MARK)
-        head, inner, tail = self._split(chunk)
-        parts: list = []
-        if head or inner:
-            if head:
-                _, came, piece = self._spread(head, min(v.longest, len(head) + 1), len(head))
-                parts.append(v.trace(head, came[enter], piece[enter], len(head), enter))
-            distinct = list(dict.fromkeys(inner))
-            ids_of = {p: ids for p, (_, ids) in zip(distinct, v.solve(distinct), strict=True)}
-            parts.append(np.frombuffer(b"".join(ids_of[p] for p in inner), np.int32))
-            enter = 0
-        text = tail + ahead
-        _, came, piece = self._spread(text, enter + 1, len(tail))
-        parts.append(v.trace(text, came[enter], piece[enter], len(tail) + leave, enter))
-        return np.concatenate([np.array(p, np.int32) for p in parts])
+    @staticmethod
+    def _back(came: list[int], end: int) -> int:
+        while came[end] >= 0:
+            end = came[end]
+        return end
+
+    def ends(self, head: str | None, tail: str, ahead: str, reach: np.ndarray, leave: int) -> tuple[list[int], list[int]]:
+        """Ids of the pieces that begin in the head and in the tail, on the best path that takes `leave` characters beyond."""
+        v, first = self.vocabulary, []
+        if head is not None:
+            _, came, piece = v.relax_one(head, reach.tolist(), len(head))
+            first = v.trace(head, came, piece, len(head), self._back(came, len(head)))
+            reach = np.zeros(1)
+        text = tail + ahead.replace(" ", MARK)
+        _, came, piece = v.relax_one(text, reach.tolist(), len(tail))
+        return first, v.trace(text, came, piece, len(tail) + leave, self._back(came, len(tail) + leave))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -330,78 +361,143 @@ def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def border_states(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
-    """(characters taken from before, characters taken beyond) of each chunk on the best path of the text."""
-    reach = [np.full(matrices[0].shape[0], -np.inf)]
-    reach[0][0] = 0
-    for m in matrices:
-        reach.append(max_plus(reach[-1][None, :], m)[0])
-    states, leave = [], 0  # nothing lies beyond the last chunk
-    for before, m in zip(reach[-2::-1], matrices[::-1], strict=True):
-        enter = int((before + m[:, leave]).argmax())
-        states.append((enter, leave))
-        leave = enter
-    return states[::-1]
+def _level(m: np.ndarray) -> np.ndarray:
+    """Scores less their largest one: only differences matter, and small numbers stay exact."""
+    return m - m.max()
+
+
+def product(matrices: list[np.ndarray]) -> np.ndarray:
+    out = matrices[0]
+    for m in matrices[1:]:
+        out = _level(max_plus(out, m))
+    return out
 
 
-def _chunks(giants: DataFrame, path: str, key: str, chunk_chars: int) -> DataFrame:
-    """(key, hash, k, chunk, ahead): every text in chunks, each with what a last piece may reach into."""
-    kind = dict(giants.dtypes)[key]
+def reaches(before: np.ndarray, matrices: list[np.ndarray]) -> list[np.ndarray]:
+    """Scores of the states in front of each chunk, from those in front of the first."""
+    out = [before]
+    for m in matrices[:-1]:
+        out.append(_level(max_plus(out[-1][None, :], m)[0]))
+    return out
 
+
+def leaves(entries: list[list[int]]) -> list[int]:
+    """Characters that each chunk takes beyond its end; nothing lies beyond the last one."""
+    out = [0]
+    for at in entries[:0:-1]:
+        out.append(at[out[-1]] if len(at) > 1 else at[0])
+    return out[::-1]
+
+
+def _chunks(giants: DataFrame, path: str, chunk_chars: int) -> DataFrame:
+    """(mark, k, chunk, ahead): every text in chunks, each with what a last piece may reach into."""
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         reach = encoder(path).vocabulary.longest - 1
-        for k, h, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for i in range(batch.num_rows):
+            mark, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
             starts = range(0, len(text), chunk_chars)
             for at in range(0, len(starts), 64):
                 part = starts[at:at + 64]
                 ends = [s + chunk_chars for s in part]
-                yield {key: [k] * len(part), "hash": [h] * len(part), "k": [s // chunk_chars for s in part],
+                yield {"mark": [mark] * len(part), "k": [s // chunk_chars for s in part],
                        "chunk": [text[s:e] for s, e in zip(part, ends, strict=True)],
                        "ahead": [text[e:e + reach] for e in ends]}
 
-    return ar.map_arrow(giants, work, f"{key} {kind}, hash long, k int, chunk string, ahead string")
+    return ar.map_arrow(giants, work, "mark string, k int, chunk string, ahead string")
+
+
+def _matrix(raw: bytes) -> np.ndarray:
+    flat = np.frombuffer(raw, np.float64)
+    return flat.reshape(math.isqrt(len(flat)), -1)
+
+
+def _reached(level: DataFrame) -> DataFrame:
+    """(mark, k, reach): the scores of the states in front of every chunk, by a tree of matrix products.
+
+    Every task has FAN matrices at a time. The rounds are as many as the largest text needs.
+    """
+    from lexiquarry.llm.storage import settle
+
+    most = level.agg(F.max("k")).first()[0] or 0
+    up = (F.col("k") / FAN).cast("int")
+    levels = [level.withColumn("up", up)]
+
+    def multiply(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("k")
+        whole = product([_matrix(m) for m in rows["m"]])
+        return pd.DataFrame({"mark": rows["mark"].iloc[:1].to_numpy(), "k": rows["up"].iloc[:1].to_numpy(), "m": [whole.tobytes()]})
+
+    def descend(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("k")
+        matrices = [_matrix(m) for m in rows["m"]]
+        begin = np.full(len(matrices[0]), -np.inf)
+        begin[0] = 0  # a text begins with its first piece
+        held = rows["before"].iloc[0]
+        found = reaches(begin if held is None else np.frombuffer(held, np.float64), matrices)
+        return rows[["mark", "k"]].assign(reach=[r.tobytes() for r in found])
+
+    while most >= FAN:
+        levels.append(settle(levels[-1].groupBy("mark", "up").applyInPandas(multiply, "mark string, k int, m binary"),
+                             "products").withColumn("up", up))
+        most //= FAN
+    before = levels[-1].withColumn("before", F.lit(None).cast("binary"))
+    while True:
+        found = settle(before.groupBy("mark", "up").applyInPandas(descend, "mark string, k int, reach binary"), "reached")
+        levels.pop()
+        if not levels:
+            return found
+        before = levels[-1].join(found.select("mark", F.col("k").alias("up"), F.col("reach").alias("before")), ["mark", "up"])
 
 
 def _encode_giants(giants: DataFrame, path: str, key: str, keep: Sequence[str], chunk_chars: int) -> DataFrame:
     from lexiquarry.llm.storage import settle
 
-    kind = dict(giants.dtypes)[key]
-    # Chunks of one text meet other tasks here, and repeated rows are solved once.
-    chunks = settle(_chunks(giants.select(key, "hash", "blanked"), path, key, chunk_chars)
-                    .dropDuplicates([key, "hash", "k"]), "chunks")
+    # Chunks of one text meet other tasks here, and equal texts are solved once.
+    chunks = _chunks(giants.select("mark", "blanked"), path, chunk_chars).dropDuplicates(["mark", "k"])
 
-    def matrices(batch: pa.RecordBatch) -> Iterator[dict]:
+    def solve(batch: pa.RecordBatch) -> Iterator[dict]:
+        work = encoder(path)
+        for at in range(0, batch.num_rows, 32):
+            part = batch.slice(at, 32)
+            found = [work.open_chunk(c, a) for c, a in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+            yield {"mark": part.column(0), "k": part.column(1), "ahead": part.column(3), "m": [f[0].tobytes() for f in found],
+                   "head": [f[1] for f in found], "ids": ar.list_column([f[2] for f in found], pa.int32()), "tail": [f[3] for f in found]}
+
+    solved = settle(ar.map_arrow(chunks, solve, "mark string, k int, ahead string, m binary, head string, ids array<int>, tail string"),
+                    "solved")
+    reached = _reached(solved.select("mark", "k", "m"))
+    borders = solved.select("mark", "k", "head", "tail", "ahead").join(reached, ["mark", "k"])
+
+    def enter(batch: pa.RecordBatch) -> Iterator[dict]:
         work = encoder(path)
-        m = [work.transfer(c, a).tobytes() for c, a in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
-        yield {key: batch.column(0), "hash": batch.column(1), "k": batch.column(2), "m": m}
+        rows = batch.to_pylist()
+        yield {c: batch.column(c) for c in ("mark", "k", "head", "tail", "ahead", "reach")} | {
+            "entries": [work.entries(r["head"], r["tail"], r["ahead"], np.frombuffer(r["reach"], np.float64)) for r in rows]}
 
-    def states(rows: pd.DataFrame) -> pd.DataFrame:
+    texts = "mark string, k int, head string, tail string, ahead string, reach binary"
+    entered = settle(ar.map_arrow(borders, enter, texts + ", entries array<int>"), "entered")
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("k")
-        loaded = [np.frombuffer(m, np.float64) for m in rows["m"]]
-        side = int(np.sqrt(len(loaded[0])))
-        at = border_states([m.reshape(side, side) for m in loaded])
-        return rows[[key, "hash", "k"]].assign(enter=[s[0] for s in at], leave=[s[1] for s in at])
+        return rows[["mark", "k"]].assign(leave=leaves([list(e) for e in rows["entries"]]))
 
-    # A text has at most 2**31 characters, so a group has at most 2**31 / chunk_chars small matrices.
-    scanned = (ar.map_arrow(chunks, matrices, f"{key} {kind}, hash long, k int, m binary")
-               .groupBy(key, "hash").applyInPandas(states, f"{key} {kind}, hash long, k int, enter int, leave int"))
+    # A text has at most 2**31 characters, so a group has at most 2**31 / chunk_chars rows of a few numbers.
+    left = entered.select("mark", "k", "entries").groupBy("mark").applyInPandas(walk, "mark string, k int, leave int")
 
     def trace(batch: pa.RecordBatch) -> Iterator[dict]:
         work = encoder(path)
-        columns = [c.to_pylist() for c in batch.columns[3:]]
-        ids = [work.trace_chunk(*r) for r in zip(*columns, strict=True)]
-        yield {key: batch.column(0), "hash": batch.column(1), "k": batch.column(2),
-               "ids": ar.list_column(ids, pa.int32())}
-
-    joined = (chunks.join(scanned.alias("r"), [chunks[key].eqNullSafe(F.col(f"r.{key}")),
-                                               chunks["hash"] == F.col("r.hash"), chunks["k"] == F.col("r.k")])
-              .select(chunks[key], chunks["hash"], chunks["k"], "chunk", "ahead", "enter", "leave"))
-    parts = ar.map_arrow(joined, trace, f"{key} {kind}, hash long, k int, ids array<int>")
-    whole = (parts.groupBy(key, "hash").agg(F.sort_array(F.collect_list(F.struct("k", "ids"))).alias("parts"))
-             .select(key, "hash", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids")))
-    rows = giants.select(key, "hash", *keep)
-    return rows.join(whole.alias("r"), [rows[key].eqNullSafe(F.col(f"r.{key}")), rows["hash"] == F.col("r.hash")]).select(
-        rows[key], *[rows[c] for c in keep], F.size("ids").alias("n_tokens"), "ids")
+        ids = [work.ends(r["head"], r["tail"], r["ahead"], np.frombuffer(r["reach"], np.float64), r["leave"]) for r in batch.to_pylist()]
+        for side in (0, 1):
+            yield {"mark": batch.column("mark"), "k": batch.column("k"), "side": [2 * side] * len(ids),
+                   "ids": ar.list_column([np.array(i[side], np.int32) for i in ids], pa.int32())}
+
+    shape = "mark string, k int, side int, ids array<int>"
+    ends = ar.map_arrow(entered.drop("entries").join(left, ["mark", "k"]), trace, shape)
+    whole = (ends.unionByName(solved.select("mark", "k", F.lit(1).alias("side"), "ids"))
+             .groupBy("mark").agg(F.sort_array(F.collect_list(F.struct("k", "side", "ids"))).alias("parts"))
+             .select("mark", F.flatten(F.col("parts")["ids"]).alias("ids")))
+    rows = giants.select(key, "mark", *keep)
+    return rows.join(whole, "mark").select(rows[key], *[rows[c] for c in keep], F.size("ids").alias("n_tokens"), "ids")
 
 
 def encode_pieces(documents: DataFrame, model_path: str, key: str = "doc_id", text: str = "text",
@@ -415,7 +511,7 @@ def encode_pieces(documents: DataFrame, model_path: str, key: str = "doc_id", te
     types = dict(documents.dtypes)
     kept = [c for c in keep if c != key]
     blanked = F.when(F.length(text) > 0, F.concat(F.lit(" "), F.col(text))).otherwise("")
-    rows = documents.select(key, *kept, blanked.alias("blanked"), F.xxhash64(text).alias("hash"))
+    rows = documents.select(key, *kept, blanked.alias("blanked"))
     giant = F.length("blanked") > chunk_chars
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -427,7 +523,7 @@ def encode_pieces(documents: DataFrame, model_path: str, key: str = "doc_id", te
 
     schema = ", ".join(f"{c} {types[c]}" for c in [key, *kept]) + ", n_tokens int, ids array<int>"
     short = ar.map_arrow(rows.where(~giant).select(key, *kept, "blanked"), work, schema)
-    return short.unionByName(_encode_giants(rows.where(giant), model_path, key, kept, chunk_chars))
+    return short.unionByName(_encode_giants(rows.where(giant).withColumn("mark", F.md5("blanked")), model_path, key, kept, chunk_chars))
 
 
 def decode_pieces(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:

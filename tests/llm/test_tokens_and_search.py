@@ -12,6 +12,7 @@ from lexiquarry.llm import ann_graph as ag
 from lexiquarry.llm import queries as qs
 from lexiquarry.llm import sentencepiece_scan as sp
 from lexiquarry.llm import token_files as tf
+from lexiquarry.llm.queries import table
 from lexiquarry.llm.storage import stage_path
 
 from .conftest import SF_DIR, invented
@@ -65,19 +66,38 @@ def test_best_segmentation(encoder, rng):
 
 
 @pytest.mark.parametrize("size", [16, 50, 333])
-def test_chunks_reach_the_same_score(encoder, rng, size):
+def test_chunks_give_the_ids_of_the_whole_text(encoder, rng, size):
     v = encoder.vocabulary
-    for text in [" " + " ".join(invented(rng, 80)), "日本語テキスト漢字" * 20, "a" * 300]:
+    for text in [" " + " ".join(invented(rng, 80)), "日本語テキスト漢字" * 20, "a" * 300, "ab" * 150 + "é" * 40]:
         chunks = [text[s:s + size] for s in range(0, len(text), size)]
         ahead = [text[s + size:s + size + v.longest - 1] for s in range(0, len(text), size)]
-        matrices = [encoder.transfer(c, a) for c, a in zip(chunks, ahead, strict=True)]
-        left = sp.max_plus(sp.max_plus(matrices[0], matrices[-1]), matrices[0])
-        assert np.array_equal(left, sp.max_plus(matrices[0], sp.max_plus(matrices[-1], matrices[0]))) or np.allclose(
-            left, sp.max_plus(matrices[0], sp.max_plus(matrices[-1], matrices[0])), equal_nan=True)
-        states = sp.border_states(matrices)
-        ids = np.concatenate([encoder.trace_chunk(c, a, *s) for c, a, s in zip(chunks, ahead, states, strict=True)])
-        assert np.isclose(score_of(v, ids.tolist()), best_score(v, text))
-        assert b"".join(v.text_of[j] for j in ids).decode() == text
+        opened = [encoder.open_chunk(c, a) for c, a in zip(chunks, ahead, strict=True)]
+        matrices = [o[0] for o in opened]
+        left, right = sp.product(matrices), matrices[-1]
+        for m in matrices[-2::-1]:
+            right = sp.product([m, right])
+        assert np.array_equal(left, right)
+        begin = np.full(v.longest, -np.inf)
+        begin[0] = 0
+        states = sp.reaches(begin, matrices)
+        entries = [encoder.entries(h, t, a, r) for (_, h, _, t), a, r in zip(opened, ahead, states, strict=True)]
+        ids = []
+        for (_, head, middle, tail), a, r, leave in zip(opened, ahead, states, sp.leaves(entries), strict=True):
+            first, last = encoder.ends(head, tail, a, r, leave)
+            ids += [*first, *middle.tolist(), *last]
+        (_, _, whole, _), = encoder.rows(pa.array([text]))
+        assert ids == whole.tolist()
+        assert np.isclose(score_of(v, ids), best_score(v, text))
+
+
+def test_ids_do_not_depend_on_the_chunks(spark, rng):
+    """Some 700 chunks of 256 characters, so the matrices meet in three rounds."""
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "text").where("doc_id < 300")
+    long = spark.createDataFrame([(10**6, " ".join(invented(rng, 30_000))), (10**6 + 1, "abc" * 5000), (None, "日本" * 300)],
+                                 "doc_id long, text string")
+    read = [sorted((r.doc_id or -1, r.ids) for r in sp.encode_pieces(docs.union(long), MODEL, chunk_chars=c).collect())
+            for c in (256, 4096, 1 << 20)]
+    assert read[0] == read[1] == read[2]
 
 
 def test_encode_and_decode_tables(spark, messy, no_documents):
