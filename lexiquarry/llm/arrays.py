@@ -6,6 +6,7 @@ working memory of a task does not depend on the batch, and a single long text is
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -159,13 +160,25 @@ def map_arrow(rows: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]],
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for out in work(batch):
-                yield pa.record_batch([as_arrow(out[f.name], f.type) for f in arrow], schema=arrow)
+        try:
+            for batch in batches:
+                for out in work(batch):
+                    yield pa.record_batch([as_arrow(out[f.name], f.type) for f in arrow], schema=arrow)
+        finally:
+            give_back_memory()
 
     return rows.mapInArrow(run, schema)
 
 
+def give_back_memory() -> None:
+    """Return what a task has freed to the system; workers outlive tasks, and idle ones would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def as_arrow(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
