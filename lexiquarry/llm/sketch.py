@@ -60,8 +60,30 @@ def bucket_counts(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterato
 
 def id_filter(ids: DataFrame, bits: int = 23) -> Broadcast:
     """A bit table of fixed size that holds every integer id of a one-column table, and few others."""
-    counts = bucket_counts(ids, lambda batch: iter([id_hashes(batch.column(0))]), bits)
-    return ids.sparkSession.sparkContext.broadcast(np.packbits(counts > 0))
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, bool)
+        for batch in batches:
+            table[bucket_of(id_hashes(batch.column(0)), bits)] = True
+        yield from blocks({i: b for i, b in enumerate(np.packbits(table).reshape(-1, BLOCK)) if b.any()})
+
+    def blocks(found: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        packed = [zlib.compress(b.tobytes(), 1) for b in found.values()]
+        yield pa.record_batch([pa.array(found.keys(), pa.int32()), pa.array(packed, pa.binary())], ["block", "marks"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(packed), np.uint8)
+                found[i] = found[i] | part if i in found else part
+        yield from blocks(found)
+
+    schema = "block int, marks binary"
+    united = ids.mapInArrow(mark, schema).repartition(8, "block").mapInArrow(unite, schema).toArrow()
+    table = np.zeros(((1 << bits) // 8 // BLOCK, BLOCK), np.uint8)
+    for i, packed in zip(united["block"].to_pylist(), united["marks"].to_pylist(), strict=True):
+        table[i] = np.frombuffer(zlib.decompress(packed), np.uint8)
+    return ids.sparkSession.sparkContext.broadcast(table.ravel())
 
 
 def may_hold(packed: np.ndarray, column: pa.Array) -> np.ndarray:
