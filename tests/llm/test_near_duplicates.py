@@ -225,3 +225,30 @@ def test_chain_takes_the_best_collinear_set():
     import numpy as np
     segments = np.array([[0, 20, 100, 120, 20], [30, 50, 130, 150, 20], [30, 50, 10, 30, 20], [55, 80, 155, 180, 25]])
     assert sc.chain(segments)[0] == [0, 1, 3]
+
+
+def test_common_words_equal_the_plain_table(rng):
+    import numpy as np
+
+    def plain(a, b):
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
+        return table[-1, -1]
+
+    for _ in range(200):
+        a, b = (np.array([rng.randrange(rng.choice([2, 9, 60])) for _ in range(rng.randrange(90))], np.int32) for _ in range(2))
+        assert sc.common_words(a, b) == plain(a, b)
+
+
+def test_seed_bits_hold_all_seeds_of_two_rows(spark, rng):
+    import numpy as np
+    shared, twice = invented(rng, 40), invented(rng, 9)
+    texts = [None, "", "a b", " ".join(shared + invented(rng, 300)), " ".join(invented(rng, 20) + shared), " ".join(twice * 5)]
+    bits = sc._met_twice(spark.createDataFrame([(t,) for t in texts], "text string")).value
+    held = lambda words: [bits[h >> np.uint64(39)] >> (7 - int((h >> np.uint64(36)) & np.uint64(7))) & 1 for h in words]
+    of = [sc.seeds(w)[0] for _, w in sc.ar.words_by_row(sc.pa.array(texts))]
+    both = np.intersect1d(of[3], of[4])
+    assert len(both) > 5 and all(held(both))
+    assert len(bits) == 1 << 25 and not any(held(np.setdiff1d(of[3], both))) and not any(held(of[5]))
