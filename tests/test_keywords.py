@@ -198,3 +198,18 @@ def test_null_documents_stay_null(spark, sentence_table):
     done = lm.lemmatize_sentences(table, lemmas)
     assert {r.doc_id: r.sentences for r in done.collect()} == {
         1: ["acute respiratory distress syndrome now"], 2: [], 3: None, 4: ["thing here"]}
+
+
+def test_few_false_spans_leave_a_row_with_a_large_dictionary(spark):
+    # 1.5 million phrases set 4.5 million bits, more than half of a table of 2^23.
+    phrases = spark.range(1_500_000).selectExpr("concat('x', id, ' y', id) phrase")
+    texts = spark.range(200).selectExpr(
+        "id doc_id", "'pr_abstract' field", "array(array_join(transform(sequence(1, 100), i -> concat('z', id * 100 + i)), ' ')) sentences")
+    assert ma.candidate_spans(texts, ma.phrase_filter(phrases)).count() < 20_000 * 0.02
+
+
+def test_matched_documents_without_matches_and_null_ones(spark, sentence_table):
+    dictionary = spark.createDataFrame([("frequent", "aa", "aa"), ("textrank", "aa", "aa")], "source string, phrase string, clean string")
+    table = sentence_table({1: ["zz", "aa aa"], 2: None, 3: [], 4: [""]})
+    got = {r.doc_id: r.matched and [tuple(m) for m in r.matched] for r in ma.matched_sentences(table, dictionary).collect()}
+    assert got == {1: [(0, [], []), (1, ["aa", "aa"], ["aa", "aa"])], 2: None, 3: [], 4: [(0, [], [])]}
