@@ -190,3 +190,23 @@ def test_missing_pieces_are_reported(spark, tmp_path):
     os.rename(f"{path}/segments/{stored.manifest.segments[0]}", f"{path}/gone")
     with pytest.raises(PySparkException):
         hit_rows(st.open_index(spark, path), spark)
+
+
+def test_postings_are_made_without_a_shuffle(spark):
+    rows = [(1, "a", ["x", "y", None, "x"], 7), (2, "a", [], 8), (3, "b", None, 9), (4, "b", ["z"], None)]
+    words = spark.createDataFrame(rows, "doc_id long, field string, words array<string>, day int")
+    made = st._document_postings(words, ["day"])
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, made.collect())) == sorted(map(str, ix.build_postings(words, ["day"], positions=True).collect()))
+
+
+def test_best_pairs_of_blocks(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(0, "a", f"t{rng.randint(0, 40)}", rng.randint(0, 3), rng.randint(1, 6), rng.randint(1, 9)) for _ in range(3000)]
+    st._best_pairs(spark.createDataFrame(rows, "bucket int, field string, term string, block int, tf long, dl long"), str(tmp_path / "best"))
+    blocks = {}
+    for _, _, term, block, tf, dl in rows:
+        blocks.setdefault((term, block), set()).add((tf, dl))
+    want = {k: sorted(x for x in v if not any(y != x and y[0] >= x[0] and y[1] <= x[1] for y in v)) for k, v in blocks.items()}
+    found = spark.read.parquet(str(tmp_path / "best")).collect()
+    assert len(found) == len(want) and {(r.term, r.block): sorted(map(tuple, r.best)) for r in found} == want
