@@ -213,3 +213,27 @@ def test_matched_documents_without_matches_and_null_ones(spark, sentence_table):
     table = sentence_table({1: ["zz", "aa aa"], 2: None, 3: [], 4: [""]})
     got = {r.doc_id: r.matched and [tuple(m) for m in r.matched] for r in ma.matched_sentences(table, dictionary).collect()}
     assert got == {1: [(0, [], []), (1, ["aa", "aa"], ["aa", "aa"])], 2: None, 3: [], 4: [(0, [], [])]}
+
+
+def test_a_block_asks_for_a_phrase_once(spark, sentence_table):
+    texts = sentence_table({i: ["aa bb cc", "bb aa bb"] * 50 for i in range(20)})
+    phrases = spark.createDataFrame([("aa",), ("aa bb",)], "phrase string")
+    rows = ma.candidate_spans(texts.coalesce(1), ma.phrase_filter(phrases)).toPandas()
+    asked = rows[rows["phrase"].notna()]
+    assert not asked.duplicated(["block", "phrase"]).any() and set(asked["phrase"]) == {"aa", "aa bb"} and len(rows) < 40
+
+
+def test_matches_do_not_depend_on_the_size_of_blocks(spark, monkeypatch):
+    rows = [(i // 2, "pr_abstract", [f"aa w{i % 7} bb aa bb", "", f"w{i % 5} aa bb"][:i % 4] if i % 9 else None) for i in range(60)]
+    table = spark.createDataFrame([(None, "pr_abstract", ["aa bb"]), *rows], "doc_id long, field string, sentences array<string>")
+    dictionary = spark.createDataFrame([(s, p, p.upper()) for s in ma.SOURCES for p in ("aa bb", "bb aa", "w3", "w4 bb aa bb", "aa")],
+                                       "source string, phrase string, clean string")
+
+    def found():
+        return (sorted(map(str, ma.keyword_matches(table, dictionary).collect())),
+                sorted(map(str, ma.matched_sentences(table, dictionary).collect())))
+
+    whole = found()
+    monkeypatch.setattr(ma, "WALK_WORDS", 4)
+    monkeypatch.setattr(ma, "SPAN_WORDS", 3)
+    assert len(whole[0]) > 60 and len(whole[1]) == 61 and found() == whole
