@@ -7,8 +7,10 @@ import pytest
 
 from lexiquarry.operators import fuzzy as fz
 from lexiquarry.operators import index as ix
+from lexiquarry.operators import normalize as nz
 from lexiquarry.operators import search as se
 from lexiquarry.operators import stored as st
+from lexiquarry.session import settle
 
 SCHEMA = "doc_id long, field string, words array<string>, publish_time date"
 
@@ -199,3 +201,18 @@ def test_english_queries_need_no_python_worker(spark):
     assert se.analyze_queries(spark, [query]) == [("e", 0, "fever"), ("e", 1, "cough"), ("e", 2, "dog")]
     plan = se.multi_match(ix.LiveIndex(words, ()), [query], spark)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "Arrow" not in plan
+
+
+def test_a_lookup_normalises_a_text_once(spark, monkeypatch):
+    texts = spark.createDataFrame([(1, "Aa bb cc. Aa bb"), (2, None), (3, "")], "doc_id long, text string")
+    words = nz.index_words(nz.to_fields(texts, {"pr_abstract": "text"}))
+    plans = []
+
+    def spy(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return settle(df, name)
+
+    monkeypatch.setattr(ix, "settle", spy)
+    found = ix.LiveIndex(words).lookup(spark.createDataFrame([("pr_abstract", "aa")], "field string, term string"), ["aa"])
+    assert [tuple(r) for r in found.field_stats.collect()] == [("pr_abstract", 1, 5.0)]
+    assert len(plans) == 1 and plans[0].count("array_remove(split(") == 1
