@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexiquarry.operators import keywords as kw
 from lexiquarry.operators import lemmatize as lm
 from lexiquarry.operators import matching as ma
+from lexiquarry.operators import normalize as nz
 from lexiquarry.operators import textrank as tr
 from lexiquarry.operators import tfidf as ti
 
@@ -237,3 +238,11 @@ def test_matches_do_not_depend_on_the_size_of_blocks(spark, monkeypatch):
     monkeypatch.setattr(ma, "WALK_WORDS", 4)
     monkeypatch.setattr(ma, "SPAN_WORDS", 3)
     assert len(whole[0]) > 60 and len(whole[1]) == 61 and found() == whole
+
+
+def test_ngrams_normalise_a_text_once(spark):
+    texts = spark.createDataFrame([(1, "Aa bb cc. Aa bb"), (2, None), (3, ""), (4, "dd")], "doc_id long, text string")
+    counts = kw.ngram_counts(nz.normalize_fields(texts, {"pr_abstract": "text"}), 2)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
+    assert {tuple(r) for r in counts.collect()} == {("aa", "bb", 2), ("bb", "cc", 1), ("cc", "aa", 1)}
