@@ -246,3 +246,31 @@ def test_ngrams_normalise_a_text_once(spark):
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") == 1
     assert {tuple(r) for r in counts.collect()} == {("aa", "bb", 2), ("bb", "cc", 1), ("cc", "aa", 1)}
+
+
+def test_grams_are_counted_by_blocks_and_dealt_before_they_are_added(spark, sentence_table, monkeypatch):
+    rows = {i: None if i % 7 == 0 else [f"aa w{i % 5} bb", "", "aa bb aa"][:i % 4] for i in range(60)}
+    table = sentence_table(rows)
+    for size in (1, 2, 3):
+        words = [" ".join(s).split() for s in rows.values() if s]
+        wanted = Counter(tuple(w[i:i + size]) for w in words for i in range(len(w) - size + 1))
+        for block in (3, 1 << 20):
+            monkeypatch.setattr(kw, "GRAM_WORDS", block)
+            assert {tuple(r)[:-1]: r.n for r in kw.ngram_counts(table, size).collect()} == wanted
+    # No task holds a map of all grams of its documents: what is shuffled comes from blocks.
+    plan = kw.ngram_counts(table, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange") and "HashAggregate" not in plan[plan.index("Exchange"):]
+
+
+def test_a_large_dictionary_is_hashed_and_blocks_are_dealt_by_rows(spark, sentence_table, monkeypatch):
+    table = sentence_table({i: [f"aa w{i % 7} bb", "aa bb"] for i in range(60)})
+    dictionary = spark.createDataFrame([(s, p, p.upper()) for s in ma.SOURCES for p in ("aa bb", "w3", "aa")],
+                                       "source string, phrase string, clean string")
+    small = ma.keyword_matches(table, dictionary)
+    monkeypatch.setattr(ma, "WALK_WORDS", 20)
+    monkeypatch.setattr(ma, "ROWS_PER_TASK", 10)
+    monkeypatch.setattr(ma, "broadcast_limit", lambda _: 0)
+    large = ma.keyword_matches(table, dictionary)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and large.rdd.getNumPartitions() > 4
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
