@@ -274,3 +274,30 @@ def test_a_large_dictionary_is_hashed_and_blocks_are_dealt_by_rows(spark, senten
     plan = large._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and large.rdd.getNumPartitions() > 4
     assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+
+
+def test_tfidf_shuffles_terms_of_blocks_and_keeps_documents_whole(spark, monkeypatch):
+    rng = random.Random(4)
+    words = ["aa", "bb", "cc", "d", "ee", "ff"]
+    rows = [(i // 2, f, None if rng.random() < 0.1 else [" ".join(rng.choices(words[:k], k=rng.randint(0, 9))) for _ in range(rng.randint(0, 3))])
+            for i in range(60) for f, k in (("pr_title", 3), ("pr_abstract", 6))]
+    table = spark.createDataFrame([(None, "pr_title", ["aa bb"]), *rows], "doc_id long, field string, sentences array<string>")
+    rows.append((None, "pr_title", ["aa bb"]))
+    n, df, length, wanted = Counter(), Counter(), Counter(), []
+    counted = [(d, f, Counter(w for s in texts for w in s.split() if len(w) > 1)) for d, f, texts in rows if texts is not None]
+    for _, f, tf in counted:
+        n[f] += 1
+        df.update((f, t) for t in tf)
+    weight = {(f, t): math.log((1 + n[f]) / (1 + k)) + 1 for (f, t), k in df.items()}
+    for d, f, tf in counted:
+        length[d, f] += sum((k * weight[f, t]) ** 2 for t, k in tf.items())
+    for d, f, tf in counted:
+        wanted += [(str(d), f, t, k, round(k * weight[f, t] / math.sqrt(length[d, f]), 9)) for t, k in tf.items()]
+    for size in (4, 1 << 19):
+        monkeypatch.setattr(ti, "TERM_WORDS", size)
+        got = ti.tfidf(table)
+        assert sorted((str(r.doc_id), r.field, r.term, r.tf, round(r.tfidf, 9)) for r in got.collect()) == sorted(wanted)
+    # A term that each of 500 documents has is shuffled once a block, not once a document.
+    same = spark.createDataFrame([(i, "pr_abstract", ["aa bb"]) for i in range(500)], table.schema)
+    blocks = ti._counted_blocks(same.coalesce(1))
+    assert blocks.where("term = 'aa'").count() <= 4 and blocks.where("counts is not null").count() == 500
