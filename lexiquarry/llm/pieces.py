@@ -11,8 +11,8 @@ def distinct_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> t
     sizes = ends - starts
     inside = np.zeros(len(data) + 1, np.int8)
     inside[starts] += 1
-    inside[ends] -= 1  # pieces do not overlap, so no place ends two of them
-    flat = np.ascontiguousarray(data[np.cumsum(inside[:-1]) > 0])
+    inside[ends] -= 1  # pieces do not overlap, so no place ends two of them, and sums are 0 or 1
+    flat = data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]
     offsets = np.zeros(len(sizes) + 1, np.int64)
     np.cumsum(sizes, out=offsets[1:])
     column = pa.LargeBinaryArray.from_buffers(
@@ -51,10 +51,13 @@ class Memo(dict):
 
     def lookup(self, keys: list[bytes], compute) -> list:
         """Results for all keys; `compute` makes those of the missing ones."""
-        missing = [k for k in keys if k not in self]
-        if len(self) + len(missing) > self.limit:
-            self.clear()
-            missing = keys
+        found = list(map(self.get, keys))
+        missing = [i for i, value in enumerate(found) if value is None]
         if missing:
-            self.update(zip(missing, compute(missing), strict=True))
-        return [self[k] for k in keys]
+            for i, value in zip(missing, compute([keys[i] for i in missing]), strict=True):
+                found[i] = value
+            full = len(self) + len(missing) > self.limit
+            if full:
+                self.clear()
+            self.update(zip(keys, found, strict=True) if full else ((keys[i], found[i]) for i in missing))
+        return found

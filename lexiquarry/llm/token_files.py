@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lexiquarry.llm import arrays as ar
 from lexiquarry.llm.pieces import Memo, distinct_pieces, gather, marked
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 
@@ -53,13 +53,15 @@ class WordEncoder:
         self.memo = Memo()
 
     def _library(self, pieces: list[bytes]) -> Iterator[bytes]:
+        comma = self.comma.encode()
         for at in range(0, len(pieces), 1000):
-            part = [p.decode("utf-8", "replace") for p in pieces[at:at + 1000]]
+            text = comma.join(pieces[at:at + 1000]).decode("utf-8", "replace")
             # The special token between two pieces shows where the ids of each end.
-            coded = self.tokenizer.encode_batch_fast([self.comma.join(part)], add_special_tokens=False)[0].ids
-            ids = np.array(coded, np.int32)
-            for own in np.split(ids, np.flatnonzero(ids == self.comma_id)):
-                yield own[own != self.comma_id].tobytes()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            ends, raw, first = np.flatnonzero(ids == self.comma_id).tolist(), ids.tobytes(), 0
+            for end in [*ends, len(ids)]:
+                yield raw[4 * first:4 * end]
+                first = end + 1
 
     def whole(self, text: bytes) -> np.ndarray:
         coded = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)

@@ -12,6 +12,7 @@ from lexiquarry.llm import ann_graph as ag
 from lexiquarry.llm import queries as qs
 from lexiquarry.llm import sentencepiece_scan as sp
 from lexiquarry.llm import token_files as tf
+from lexiquarry.llm.pieces import Memo
 from lexiquarry.llm.queries import table
 from lexiquarry.llm.storage import stage_path
 
@@ -129,6 +130,19 @@ def test_word_pieces_equal_the_library():
     assert got == library_ids(texts)
 
 
+def test_a_full_memo_computes_only_what_is_missing():
+    memo, asked = Memo(4), []
+
+    def compute(keys):
+        asked.extend(keys)
+        return [k * 2 for k in keys]
+
+    assert memo.lookup([b"a", b"b", b"c"], compute) == [b"aa", b"bb", b"cc"]
+    assert memo.lookup([b"c", b"d", b"e"], compute) == [b"cc", b"dd", b"ee"]
+    assert memo.lookup([b"e", b"c"], compute) == [b"ee", b"cc"] and len(memo) <= 4
+    assert asked == [b"a", b"b", b"c", b"d", b"e"]
+
+
 def test_token_files(spark, messy, no_documents):
     path = stage_path(spark, "tokens")
     tf.write_token_files(tf.encode_in_order(messy, WORDS, 1), path)
