@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from lexiquarry.session import settle, stage_dir
+from lexiquarry.session import drop_settled, settle, stage_dir
 
-__all__ = ["settle", "stage_path"]
+__all__ = ["drop_settled", "settle", "stage_path"]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -1,15 +1,21 @@
 """N-gram join, decontamination and passages against brute force."""
 
 import itertools
+import math
+import os
 import re
+import time
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from lexiquarry.llm import arrays as ar
 from lexiquarry.llm import components as co
 from lexiquarry.llm import decontaminate as dc
 from lexiquarry.llm import ngram_join as nj
 from lexiquarry.llm import substring_chain as sc
+from lexiquarry.session import settle, stage_dir
 
 from .conftest import invented
 
@@ -252,3 +258,45 @@ def test_seed_bits_hold_all_seeds_of_two_rows(spark, rng):
     both = np.intersect1d(of[3], of[4])
     assert len(both) > 5 and all(held(both))
     assert len(bits) == 1 << 25 and not any(held(np.setdiff1d(of[3], both))) and not any(held(of[5]))
+
+
+def test_passages_leave_only_the_tables_that_the_result_reads(spark, rng):
+    folder = f"{stage_dir(spark)}/lexiquarry"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    p = invented(rng, 60)
+    docs = spark.createDataFrame([(1, " ".join(p)), (2, " ".join(invented(rng, 9) + p))], "doc_id long, text string")
+    result = sc.repeated_passages(docs)
+    left = {name.split("-")[0] for name in set(os.listdir(folder)) - before}
+    assert left == {"passages", "hopeful"}
+    assert [(r.doc_id, r.start_word, r.end_word) for r in result.collect()] == [(2, 9, 69)]
+
+
+def test_a_settled_table_leaves_no_shuffle_files(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [str(f) for f in local.localDirs()]
+    files = lambda: {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    before = files()
+    settle(spark.range(1000).repartition(3, "id"), "dealt")
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+
+
+@pytest.mark.parametrize("rounds", [1, 5])
+def test_all_pairs_in_rounds_are_those_of_a_plain_search(spark, rng, monkeypatch, rounds):
+    p, few = invented(rng, 60), invented(rng, 6)
+    texts = {i: [*invented(rng, 5 + i), *(p[i:i + 55] if i < 4 else few), *invented(rng, 30)] for i in range(9)}
+    texts[20] = p[:20] + p[25:]  # two segments
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()] + [(3, " ".join(invented(rng, 7)))], "id long, text string")
+    own = {i: sc.seeds(next(ar.words_by_row(pa.array([" ".join(t)])))[1]) for i, t in texts.items()}
+    found = [(int(s), i, int(pos)) for i, (hashes, places, _) in own.items() for s, pos in zip(hashes.view("int64"), places, strict=True)]
+    first = {(s, i): min(pos for t, j, pos in found if (t, j) == (s, i)) for s, i, _ in found}
+    rest = spark.createDataFrame([(s, i, pos, first[s, i] == pos) for s, i, pos in found], "seed long, id long, pos int, first boolean")
+    matches = [(i, j, pos, at) for s, i, pos in found for (t, j), at in first.items() if s == t and j < i]
+    plain = sc._chains(spark.createDataFrame(matches, "id long, home long, pos int, home_pos int"))
+    as_set = lambda chains: {(r.id, r.home, tuple(r.segments)) for r in chains.collect()}
+    monkeypatch.setattr(sc, "CELL_MATCHES", 1 if rounds > 1 else 1 << 20)
+    chains = sc._all_chains(rest, docs, 50, math.ceil(len(matches) / rounds))
+    assert as_set(chains) == as_set(sc._hopeful(plain, docs, 50))
+    assert {(r.id, r.home) for r in chains.collect()} >= {(1, 0), (2, 1), (20, 3)}
