@@ -10,6 +10,7 @@ from lexiquarry.operators import index as ix
 from lexiquarry.operators import normalize as nz
 from lexiquarry.operators import search as se
 from lexiquarry.operators import stored as st
+from lexiquarry.plans import pipelines as pl
 from lexiquarry.session import settle
 
 SCHEMA = "doc_id long, field string, words array<string>, publish_time date"
@@ -216,3 +217,14 @@ def test_a_lookup_normalises_a_text_once(spark, monkeypatch):
     found = ix.LiveIndex(words).lookup(spark.createDataFrame([("pr_abstract", "aa")], "field string, term string"), ["aa"])
     assert [tuple(r) for r in found.field_stats.collect()] == [("pr_abstract", 1, 5.0)]
     assert len(plans) == 1 and plans[0].count("array_remove(split(") == 1
+
+
+def test_a_batch_makes_the_words_of_both_systems_once(spark, monkeypatch):
+    words = spark.createDataFrame([(1, f"{s}.pr_title", ["some", "words"], None) for s in pl.SYSTEMS],
+                                  "doc_id long, field string, words array<string>, publish_time date")
+    seen = []
+    monkeypatch.setattr(pl, "shared_words", lambda articles: words)
+    monkeypatch.setattr(pl, "live", lambda rows: seen.append(rows) or ix.LiveIndex(rows, pl.INDEX_ATTRIBUTES))
+    hits = pl.batch_search(words, [se.MatchQuery("q", "words", {"pr_title": 1.0})], spark)
+    assert [(r.system, r.doc_id) for r in hits.orderBy("system").collect()] == [(s, 1) for s in pl.SYSTEMS]
+    assert seen[0].inputFiles() and all("/lexiquarry/words-" in f for f in seen[0].inputFiles())
