@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter
 
@@ -11,6 +12,8 @@ from lexiquarry.operators import matching as ma
 from lexiquarry.operators import normalize as nz
 from lexiquarry.operators import textrank as tr
 from lexiquarry.operators import tfidf as ti
+from lexiquarry.plans import pipelines as pl
+from lexiquarry.session import stage_dir
 
 
 def random_documents(seed, n_docs=6, letters="abcde", size=40):
@@ -301,3 +304,41 @@ def test_tfidf_shuffles_terms_of_blocks_and_keeps_documents_whole(spark, monkeyp
     same = spark.createDataFrame([(i, "pr_abstract", ["aa bb"]) for i in range(500)], table.schema)
     blocks = ti._counted_blocks(same.coalesce(1))
     assert blocks.where("term = 'aa'").count() <= 4 and blocks.where("counts is not null").count() == 500
+
+
+def test_matches_in_rounds_are_the_same_and_only_one_round_has_its_spans_on_disk(spark, monkeypatch):
+    rows = [(i // 2, "pr_abstract", [f"aa w{i % 7} bb aa bb", "", f"w{i % 5} aa bb"][:i % 4] if i % 9 else None) for i in range(60)]
+    table = spark.createDataFrame([(None, "pr_abstract", ["aa bb"]), *rows], "doc_id long, field string, sentences array<string>")
+    dictionary = spark.createDataFrame([(s, p, p.upper()) for s in ma.SOURCES for p in ("aa bb", "bb aa", "w3", "w4 bb aa bb", "aa")],
+                                       "source string, phrase string, clean string")
+
+    def found():
+        return (sorted(map(str, ma.keyword_matches(table, dictionary).collect())),
+                sorted(map(str, ma.matched_sentences(table, dictionary).collect())))
+
+    whole, asked, real = found(), [], ma.candidate_spans
+    folder = f"{stage_dir(spark)}/lexiquarry".removeprefix("file://")
+
+    def on_disk():
+        return {t for t in os.listdir(folder) if t.startswith("spans-")}
+
+    def spans(texts, known):
+        asked.append((texts.count(), on_disk()))
+        return real(texts, known)
+
+    before = on_disk()
+    monkeypatch.setattr(ma, "candidate_spans", spans)
+    monkeypatch.setattr(ma, "ROUND_BYTES", 10)
+    assert found() == whole
+    assert len(asked) == 2 * ma.MOST_ROUNDS and sum(n for n, _ in asked) == 2 * 61
+    assert all(tables == before for _, tables in asked) and on_disk() == before
+
+
+def test_grams_of_a_block_leave_as_one_row_a_part(spark, sentence_table):
+    table = sentence_table({i: [f"aa w{i % 50} bb", "aa bb aa"] for i in range(200)})
+    blocks = kw._block_grams(table.coalesce(1), 2, 4).collect()
+    assert len(blocks) == 4 and {r.part for r in blocks} == {0, 1, 2, 3}
+    for r in blocks:
+        grams = r.grams.split("  ")
+        assert grams == sorted(grams) and len(set(grams)) == len(grams) == len(r.counts)
+    assert sum(sum(r.counts) for r in blocks) == 200 * 5

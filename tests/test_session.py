@@ -3,7 +3,9 @@ from types import SimpleNamespace
 
 import pytest
 
-from lexiquarry.session import settle, stage_dir
+from pyspark.sql import functions as F
+
+from lexiquarry.session import settle, settle_parts, stage_dir
 
 
 def fake_session(master, setting=None):
@@ -29,3 +31,23 @@ def test_settle_keeps_rows_and_schema(spark):
     assert settled.schema == rows.schema
     assert sorted(map(tuple, settled.collect())) == sorted(map(tuple, rows.collect()))
     assert "lexiquarry/unit-" in settled.inputFiles()[0]
+
+
+def stage_tables(spark):
+    folder = f"{stage_dir(spark)}/lexiquarry".removeprefix("file://")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_parts_are_written_one_after_another_and_their_stage_tables_go(spark):
+    before, seen = stage_tables(spark), []
+
+    def part(i):
+        inner = settle_parts([lambda: settle(spark.range(i), "inmost")], "inner")
+        seen.append({t.split("-")[0] for t in stage_tables(spark) - before})
+        return inner.withColumn("part", F.lit(i))
+
+    outside = settle(spark.range(3), "outside")
+    table = settle_parts((lambda i=i: part(i) for i in (2, 3)), "whole")
+    assert sorted(map(tuple, table.collect())) == [(0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
+    assert seen == [{"outside", "inner"}, {"outside", "whole", "inner"}]
+    assert {t.split("-")[0] for t in stage_tables(spark) - before} == {"outside", "whole"} and outside.count() == 3
