@@ -342,3 +342,13 @@ def test_grams_of_a_block_leave_as_one_row_a_part(spark, sentence_table):
         grams = r.grams.split("  ")
         assert grams == sorted(grams) and len(set(grams)) == len(grams) == len(r.counts)
     assert sum(sum(r.counts) for r in blocks) == 200 * 5
+
+
+def test_system1_words_leaves_none_of_the_tables_of_its_steps(spark):
+    folder = f"{stage_dir(spark)}/lexiquarry".removeprefix("file://")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    articles = spark.createDataFrame([(i, "Acute fever of dogs", f"Dogs bark at w{i % 3} cats. Cats run far.", None) for i in range(8)],
+                                     "doc_id long, title string, abstract string, publish_time date")
+    words = pl.system1_words(articles)
+    left = {t.split("-")[0] for t in set(os.listdir(folder)) - before}
+    assert left == {"lexicon", "selected", "lemmas", "changes"} and words.count() == 16
