@@ -71,3 +71,19 @@ def test_candidates_meet_by_equal_keys_only(spark):
     plan = fz.meet(fz.neighbour_keys(vocabulary), terms)._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in plan.splitlines() if "Join" in line)
     assert "key" in join and "length" not in join
+
+
+def test_keys_of_a_word_do_not_grow_with_its_length(spark):
+    words = [("t", "abcdefghijklmnopqrstuvwxyz"[:n]) for n in (7, 9, 12, 26)] + [("t", "abcde" * 8)]
+    made = fz.neighbour_keys(spark.createDataFrame(words, "field string, term string")).groupBy("term").count().collect()
+    assert len(made) == 5 and all(r["count"] <= 22 for r in made)
+
+
+def test_words_meet_whatever_the_place_of_the_edits(spark):
+    rng = random.Random(8)
+    base = [invented(rng, n, "abcd") for n in (5, 6, 7, 8, 9, 14) for _ in range(3)]
+    words = set(base) | {edited(rng, w, rng.randint(1, 3)) for w in base for _ in range(40)}
+    asked = [(w, d) for w in base for d in (1, 2)]
+    got = expanded(spark, words, asked)
+    for key in dict.fromkeys(asked):
+        assert got[key] == nearest(words, *key), key

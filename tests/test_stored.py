@@ -1,3 +1,4 @@
+import itertools
 import os
 import random
 from collections import Counter
@@ -210,3 +211,33 @@ def test_best_pairs_of_blocks(spark, tmp_path):
     want = {k: sorted(x for x in v if not any(y != x and y[0] >= x[0] and y[1] <= x[1] for y in v)) for k, v in blocks.items()}
     found = spark.read.parquet(str(tmp_path / "best")).collect()
     assert len(found) == len(want) and {(r.term, r.block): sorted(map(tuple, r.best)) for r in found} == want
+
+
+def test_postings_and_pairs_are_made_once_and_keys_are_not_shuffled(spark, tmp_path, monkeypatch):
+    made, real = spark.sparkContext.accumulator(0), st._document_postings
+
+    def counted(words, attributes):
+        def run(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+        found = real(words, attributes)
+        return found.mapInArrow(run, found.schema)
+
+    monkeypatch.setattr(st, "_document_postings", counted)
+    rows, words = make_words(spark)
+    stored = st.write_index(words, str(tmp_path / "index"), ("publish_time",), rows_per_bucket=300)
+    written = sum(stored.segment_table(stored.manifest.segments[0], t).count() for t in ("postings", "pairs"))
+    assert stored.manifest.buckets > 1 and made.value == written > 0
+    # Keys of a term lie together, as its file was written.
+    files = stored.segment_table(stored.manifest.segments[0], "neighbours")
+    runs = files.rdd.mapPartitions(lambda rs: [sum(1 for _ in itertools.groupby(rs, lambda r: (r.field, r.term)))]).sum()
+    assert runs == files.select("field", "term").distinct().count()
+
+
+def test_files_of_a_bucket_share_its_blocks(spark, tmp_path):
+    rows, words = make_words(spark)
+    stored = st.write_index(words, str(tmp_path / "index"), ("publish_time",), docs_per_block=4)
+    postings = stored.segment_table(stored.manifest.segments[0], "postings").withColumn("file", F.input_file_name())
+    assert postings.select("file").distinct().count() > 1
+    assert postings.select("bucket", "block", "file").distinct().count() == postings.select("bucket", "block").distinct().count()
