@@ -300,3 +300,18 @@ def test_all_pairs_in_rounds_are_those_of_a_plain_search(spark, rng, monkeypatch
     chains = sc._all_chains(rest, docs, 50, math.ceil(len(matches) / rounds))
     assert as_set(chains) == as_set(sc._hopeful(plain, docs, 50))
     assert {(r.id, r.home) for r in chains.collect()} >= {(1, 0), (2, 1), (20, 3)}
+
+
+def test_seeds_of_many_rows_at_once_are_those_of_each(rng):
+    texts = [" ".join(rng.choices(["aa", "b", "cc", "d", "e f"], k=n)) for n in (0, 1, 4, 5, 6, 7, 8, 9, 0, 40, 300)] + ["x y z v w " * 30, "", None]
+    texts += [" ".join(f"w{i}" for i in rng.choices(range(400), k=n)) for n in range(3, 60)]
+    blocks = list(ar.words_by_block(pa.array(texts)))
+    assert len(blocks) == 1
+    for window, k in ((sc.WINDOW, sc.K), (6, 3), (1, 2)):
+        rows, hashes, places, own = sc.seeds_of_rows(*blocks[0][1:], k=k, window=window)
+        for i, words in ar.words_by_row(pa.array(texts)):
+            want, at, again = sc.seeds(words, k, window)
+            mine = rows == i
+            repeated = own[mine] != hashes[mine]
+            assert hashes[mine].tolist() + own[mine][repeated].tolist() == want.tolist(), (i, k, window)
+            assert places[mine].tolist() + places[mine][repeated].tolist() == at.tolist() and again.sum() == repeated.sum()
